@@ -115,3 +115,113 @@ SELECT source_file, year, count(*) FILTER (statement <> 'ZZZ') AS n_rows,
        count(*) FILTER (statement <> 'ZZZ') = max(CASE WHEN statement = 'ZZZ' THEN CAST(paid_interest AS BIGINT) END)
          AS complete
 FROM panel GROUP BY source_file, year""")
+
+REGISTRY = """registry AS (
+  SELECT CAST(45000000 + s_suppkey * 1001 AS VARCHAR) AS ico, s_name AS name,
+         ['121', '112', '801', '381', '999', NULL][s_nationkey % 6 + 1] AS form_code
+  FROM supplier WHERE s_acctbal >= 0
+), codelist AS (
+  SELECT code, arg_max(official, n_nationkey) AS official, arg_max(form_group, n_nationkey) AS form_group
+  FROM (SELECT n_nationkey, ['121', '112', '801', '381', '331'][n_nationkey % 5 + 1] AS code,
+               n_name AS official, 'group ' || n_regionkey AS form_group FROM nation)
+  GROUP BY code
+)"""
+
+ABBR = """CASE {0} WHEN '101' THEN 'f.o.' WHEN '102' THEN 'f.o.' WHEN '111' THEN 'v.o.s.' WHEN '112' THEN 's.r.o.'
+ WHEN '121' THEN 'a.s.' WHEN '205' THEN 'družstvo' WHEN '331' THEN 'p.o.' WHEN '332' THEN 'státní p.o.'
+ WHEN '706' THEN 'z.s.' WHEN '771' THEN 's.o.' WHEN '801' THEN 'obec' WHEN '804' THEN 'kraj'
+ WHEN '811' THEN 'MČ / MO' ELSE 'jiná' END"""
+
+ENRICHED = f"""{PANEL_SQL}, {REGISTRY}, lenders AS (
+  SELECT i.lender_ico,
+         CASE WHEN length(k) <> 8 OR k = '00000000' THEN 'Invalid ICO'
+              WHEN r.ico IS NULL THEN 'Not Found' ELSE r.name END AS registry_name,
+         CASE WHEN length(k) = 8 AND k <> '00000000' THEN coalesce(r.form_code, '') ELSE '' END AS form_code
+  FROM (SELECT lender_ico, {zfill("split_part(trim(lender_ico), '.', 1)")} AS k
+        FROM panel WHERE lender_ico IS NOT NULL GROUP BY lender_ico) i
+  LEFT JOIN registry r ON r.ico = k
+), forms AS (
+  SELECT l.*, CASE WHEN form_code = '' THEN 'N/A' ELSE coalesce(c.official, 'Neznámá forma') END AS form_official,
+         CASE WHEN form_code = '' THEN 'N/A' ELSE coalesce(c.form_group, 'Neznámá klasifikace') END AS form_group,
+         CASE WHEN form_code = '' THEN 'N/A' ELSE {ABBR.format('form_code')} END AS form_abbr
+  FROM lenders l LEFT JOIN codelist c ON c.code = l.form_code
+), enriched AS (
+  SELECT p.*, f.* EXCLUDE (lender_ico) FROM panel p LEFT JOIN forms f ON f.lender_ico = p.lender_ico
+), missing AS (
+  SELECT DISTINCT source_file, lender_ico AS missing_ico, registry_name AS status
+  FROM enriched WHERE registry_name IN ('Not Found', 'Invalid ICO', 'Connection Error')
+), reference AS (
+  SELECT source_file, lender_ico AS ico, lender_name AS name, min(pos) AS pos FROM panel
+  WHERE lender_ico IS NOT NULL AND lender_name IS NOT NULL GROUP BY ALL
+)"""
+
+ORACLE["codelist_lookup"] = f"WITH {REGISTRY} SELECT * FROM codelist"
+ORACLE["form_abbr"] = (
+    f"WITH {REGISTRY} SELECT ico, form_code,"
+    f" CASE WHEN form_code IS NULL THEN 'N/A' ELSE {ABBR.format('form_code')} END AS form_abbr FROM registry"
+)
+ORACLE["registry_status"] = f"WITH {ENRICHED} SELECT * FROM lenders"
+ORACLE["enrich"] = f"""WITH {ENRICHED}
+SELECT year, pos, lender_ico, registry_name, form_code, form_official, form_group, form_abbr FROM enriched"""
+ORACLE["missing_ids"] = f"WITH {ENRICHED} SELECT * FROM missing"
+ORACLE["typo_reference"] = f"WITH {ENRICHED} SELECT * FROM reference"
+
+
+def typo_sql(distance: int) -> str:
+    return f"""WITH {ENRICHED}
+SELECT m.source_file, m.missing_ico, r.ico, r.name, r.pos FROM missing m
+LEFT JOIN reference r ON r.source_file = m.source_file AND levenshtein(m.missing_ico, r.ico) <= {distance}"""
+
+
+ORACLE["typo_candidates"] = typo_sql(1)
+ORACLE["typo_candidates_2"] = typo_sql(2)
+ORACLE["typo_wide"] = f"""WITH c AS ({typo_sql(1)}), l AS (
+  SELECT source_file, missing_ico, count(ico) AS n_matches,
+         list({{'ico': ico, 'name': name}} ORDER BY pos) FILTER (ico IS NOT NULL) AS m
+  FROM c GROUP BY source_file, missing_ico
+) SELECT source_file, missing_ico, n_matches, {", ".join(
+    f"coalesce(m[{i}].ico, '') AS found_ico_{i}, coalesce(m[{i}].name, '') AS found_name_{i}" for i in range(1, 241)
+)} FROM l"""
+
+NO_PA = "regexp_replace(rate_text, 'p\\.?\\s*a\\.?', '', 'gi')"
+RATE_TEXT = f"trim(replace(replace(trim({NO_PA}), ',', '.'), '%', ''))"
+RATE_SQL = f"""
+  CASE WHEN regexp_matches({RATE_TEXT}, '{NUMBER_RE}') THEN TRY_CAST({RATE_TEXT} AS DOUBLE) END AS number,
+  CASE WHEN NOT regexp_matches({RATE_TEXT}, '{NUMBER_RE}') THEN lower(trim(rate_text)) END AS words,
+  coalesce(regexp_matches({NO_PA}, '[^0-9,. %+-]'), false) AS has_words"""
+
+ORACLE["rate_classify"] = over_panel(f"SELECT year, pos, rate_text, {RATE_SQL} FROM panel")
+
+RATE_PANEL = f"""{IDENTIFIED}, rated AS (
+  SELECT id, year, drawn_amount, rate_text, purpose, {RATE_SQL}
+  FROM identified WHERE reason IS NULL
+), joined AS (
+  SELECT coalesce(a.id, b.id, c.id) AS id,
+         a.year AS y1, b.year AS y2, c.year AS y3,
+         a.drawn_amount AS drawn_2022, b.drawn_amount AS drawn_2023, c.drawn_amount AS drawn_2024,
+         a.rate_text AS rate_2022, b.rate_text AS rate_2023, c.rate_text AS rate_2024,
+         a.purpose AS purpose_2022, b.purpose AS purpose_2023, c.purpose AS purpose_2024,
+         list_filter([coalesce(CAST(a.number AS VARCHAR), a.words), coalesce(CAST(b.number AS VARCHAR), b.words),
+                      coalesce(CAST(c.number AS VARCHAR), c.words)], lambda x: x IS NOT NULL) AS keys,
+         coalesce(a.has_words, false) OR coalesce(b.has_words, false) OR coalesce(c.has_words, false) AS words
+  FROM (SELECT * FROM rated WHERE year = 2022) a
+  FULL JOIN (SELECT * FROM rated WHERE year = 2023) b ON a.id = b.id
+  FULL JOIN (SELECT * FROM rated WHERE year = 2024) c ON coalesce(a.id, b.id) = c.id
+), rate_panel AS (
+  SELECT id, drawn_2022, drawn_2023, drawn_2024, rate_2022, rate_2023, rate_2024,
+         purpose_2022, purpose_2023, purpose_2024,
+         concat_ws(' + ', y1, y2, y3) AS years_reported,
+         CASE WHEN regexp_matches(split_part(id, '-', -1), '^[0-9]+$')
+              THEN CAST(split_part(id, '-', -1) AS BIGINT) ELSE 0 END AS loan_amount,
+         CASE WHEN len(list_distinct(keys)) > 1 THEN 'CHANGED' ELSE 'STABLE' END AS rate_changed,
+         CASE WHEN words THEN 'HAS_STRING' ELSE 'NO_STRING' END AS has_string
+  FROM joined WHERE coalesce(rate_2022, rate_2023, rate_2024) IS NOT NULL
+)"""
+
+ORACLE["rate_panel"] = f"WITH {RATE_PANEL} SELECT * FROM rate_panel"
+ORACLE["rate_class_counts"] = f"""WITH {RATE_PANEL}
+SELECT 'rate_changed' AS what, rate_changed AS value, count(*) AS n FROM rate_panel GROUP BY ALL
+UNION ALL SELECT 'has_string', has_string, count(*) FROM rate_panel GROUP BY ALL"""
+ORACLE["suffix_guard"] = over_identified(
+    "SELECT source_file, count(*) AS n FROM identified WHERE dedup_suffix IS NOT NULL GROUP BY source_file"
+)

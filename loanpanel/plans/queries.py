@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import amounts, rates, text
-from ..operators import identity, reports
+from ..operators import enrichment, identity, reports, typos
+from ..operators import rate_panel as rate_panel_ops
 from .sample_panel import raw_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +101,123 @@ AMOUNT_LABELS = ("0-100k", "100-200k", "200-300k", "300-400k", "400-500k", "500-
 @query
 def control_total(spark, sf_dir):
     return reports.control_total(raw_panel(spark, sf_dir))
+
+
+# --- lenders and mistyped IDs ----------------------------------------------
+
+def sample_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers in credit as the registry of lenders."""
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").filter("s_acctbal >= 0").selectExpr(
+        "CAST(45000000 + s_suppkey * 1001 AS STRING) AS ico",
+        "s_name AS name",
+        "get(array('121', '112', '801', '381', '999', NULL), s_nationkey % 6) AS form_code",
+    )
+
+
+def sample_codelist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as lines of a codelist with repeated codes."""
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr(
+        "n_nationkey AS line_no",
+        "get(array('121', '112', '801', '381', '331'), n_nationkey % 5) AS code",
+        "n_name AS official",
+        "concat('group ', n_regionkey) AS form_group",
+    )
+
+
+def enriched_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrichment.enrich(
+        raw_panel(spark, sf_dir), sample_registry(spark, sf_dir), sample_codelist(spark, sf_dir)
+    )
+
+
+@query
+def codelist_lookup(spark, sf_dir):
+    return enrichment.codelist_by_code(sample_codelist(spark, sf_dir))
+
+
+@query
+def form_abbr(spark, sf_dir):
+    return sample_registry(spark, sf_dir).select(
+        "ico", "form_code", enrichment.form_abbreviation(F.col("form_code")).alias("form_abbr")
+    )
+
+
+@query
+def registry_status(spark, sf_dir):
+    ids = raw_panel(spark, sf_dir).select("lender_ico").na.drop().distinct()
+    return enrichment.registry_lookup(ids, sample_registry(spark, sf_dir))
+
+
+@query
+def enrich(spark, sf_dir):
+    return enriched_panel(spark, sf_dir).select(
+        "year", "pos", "lender_ico", "registry_name", "form_code", "form_official", "form_group", "form_abbr"
+    )
+
+
+@query
+def missing_ids(spark, sf_dir):
+    return enrichment.missing_ids(enriched_panel(spark, sf_dir))
+
+
+@query
+def typo_reference(spark, sf_dir):
+    return typos.typo_reference(raw_panel(spark, sf_dir))
+
+
+def sample_candidates(spark, sf_dir, max_distance):
+    enriched = enriched_panel(spark, sf_dir)
+    return typos.typo_candidates(
+        enrichment.missing_ids(enriched), typos.typo_reference(enriched), max_distance
+    )
+
+
+@query
+def typo_candidates(spark, sf_dir):
+    return sample_candidates(spark, sf_dir, 1)
+
+
+@query
+def typo_candidates_2(spark, sf_dir):
+    return sample_candidates(spark, sf_dir, 2)
+
+
+@query
+def typo_wide(spark, sf_dir):
+    return typos.widen_candidates(sample_candidates(spark, sf_dir, 1), width=240)
+
+
+# --- interest rates --------------------------------------------------------
+
+def kept_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identity.kept(identified_panel(spark, sf_dir))
+
+
+def sample_rate_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rate_panel_ops.rate_panel(kept_panel(spark, sf_dir), range(rate_panel_ops.START_YEAR, 2025))
+
+
+@query
+def rate_classify(spark, sf_dir):
+    rate = F.col("rate_text")
+    return raw_panel(spark, sf_dir).select(
+        "year", "pos", "rate_text",
+        rates.rate_number(rate).alias("number"),
+        rates.rate_key(rate)["words"].alias("words"),
+        rates.has_words(rate).alias("has_words"),
+    )
+
+
+@query
+def rate_panel(spark, sf_dir):
+    return sample_rate_panel(spark, sf_dir)
+
+
+@query
+def rate_class_counts(spark, sf_dir):
+    return rate_panel_ops.rate_class_counts(sample_rate_panel(spark, sf_dir))
+
+
+@query
+def suffix_guard(spark, sf_dir):
+    return rate_panel_ops.suffix_violations(identified_panel(spark, sf_dir))

@@ -7,140 +7,97 @@ the hand-typed columns show. All orders are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-FIRST_YEAR, LAST_YEAR = 2021, 2024
-
-
-def _every(n: int) -> Column:
-    return F.col("k") % n == 0
-
-
-def _pick(*cases: tuple[Column, Column | str | None], default: Column | str) -> Column:
-    """Value of the first case that holds."""
-    chain = F
-    for condition, value in cases:
-        chain = chain.when(condition, value)
-    return chain.otherwise(default)
+from pyspark.sql import DataFrame, SparkSession
 
+_SPARK_SQL = """
+WITH base_loans AS (
+  SELECT o_orderkey AS k, o_custkey AS c,
+         CAST(floor(o_totalprice / 25000) * 25000 AS BIGINT) AS base,
+         trunc(o_orderdate, 'month') AS month,
+         o_orderstatus AS st, o_orderpriority AS pr,
+         explode(sequence(2021, 2024)) AS year
+  FROM {orders}
+), reported AS (
+  SELECT * FROM base_loans
+  WHERE NOT ((st = 'F' AND pr = '5-LOW' AND year > 2022)
+          OR (st = 'F' AND pr = '4-NOT SPECIFIED' AND year > 2021)
+          OR (st = 'P' AND pr = '1-URGENT' AND year = 2022)
+          OR (st = 'P' AND pr = '2-HIGH' AND year IN (2022, 2023))
+          OR (st = 'O' AND pr = '2-HIGH' AND year < 2023))
+), copied AS (
+  SELECT *, explode(sequence(0, IF(k % 61 = 0 AND year = 2021 + (k DIV 61) % 4, 1, 0))) AS copy
+  FROM reported
+), facts AS (
+  SELECT *, (c + k % 3) % 120 AS bank,
+         CAST(45000000 + ((c + k % 3) % 120) * 1001 AS STRING) AS bank_ico,
+         base + IF(k % 13 = 0 AND year >= 2023, 50000, 0) + IF(k % 9 = 0 AND year = 2022, 10, 0) AS amount,
+         concat('Výstavba č. ', k % 17) AS use_text,
+         date_add(add_months(month, CAST((22 + k % 9) * 12 AS INT)),
+                  IF(k % 7 = 0 AND year >= 2022, 400, 0)
+                  - IF(k % 14 = 0 AND year >= 2023, 500, 0)
+                  + IF(k % 41 = 0 AND year >= 2022, 10, 0)) AS maturity
+  FROM copied
+)
+SELECT concat('loans_', year, '012.tsv') AS source_file, year, k * 2 + copy AS pos,
+       '80' AS statement,
+       CAST(1000000000 + c AS STRING) AS muni_id,
+       CAST(200000 + c AS STRING) AS borrower_ico,
+       CASE WHEN k % 97 = 0 THEN '0'
+            WHEN k % 101 = 0 THEN NULL
+            WHEN k % 89 = 0 THEN left(bank_ico, 7)
+            WHEN k % 83 = 0 AND year >= 2023 THEN concat(bank_ico, '.0')
+            ELSE bank_ico END AS lender_ico,
+       CASE WHEN k % 53 = 0 THEN NULL
+            WHEN k % 31 = 0 THEN concat('Banka ', bank, ', a.s.')
+            ELSE concat('Banka ', bank) END AS lender_name,
+       CASE WHEN k % 47 = 0 THEN NULL
+            WHEN copy = 1 AND k % 2 = 0 THEN 'rekonstrukce'
+            WHEN k % 3 = 0 AND year >= 2023 THEN concat(upper(use_text), ' ')
+            ELSE use_text END AS purpose,
+       CASE WHEN year = 2021 THEN NULL
+            WHEN k % 8 = 0 THEN '1,32'
+            WHEN k % 8 = 1 THEN '2.46%'
+            WHEN k % 8 = 2 THEN '4,20% p.a.'
+            WHEN k % 8 = 3 THEN 'bezúročná'
+            WHEN k % 8 = 4 THEN '6M PRIBOR + 0,45%p.a.'
+            WHEN k % 8 = 5 THEN NULL
+            WHEN k % 8 = 6 THEN concat(year - 2020, ',5')
+            WHEN year = 2022 THEN '0,00'
+            ELSE '0' END AS rate_text,
+       CASE WHEN k % 131 = 0 THEN 'neznámé'
+            WHEN k % 71 = 0 AND year = 2023 THEN concat(date_format(month, 'yyyyMM'), '11')
+            ELSE date_format(month, 'yyyyMMdd') END AS signed_on,
+       date_format(maturity, 'yyyyMMdd') AS matures_on,
+       CASE WHEN k % 211 = 0 THEN 'neuvedeno'
+            WHEN k % 5 = 0 THEN concat(amount, ',50')
+            WHEN k % 11 = 0 AND amount >= 1000
+              THEN concat(amount DIV 1000, ' ', lpad(CAST(amount % 1000 AS STRING), 3, '0'))
+            ELSE CAST(amount AS STRING) END AS agreed_amount,
+       CASE WHEN k % 43 = 0 THEN NULL
+            WHEN k % 11 = 0 AND amount * 4 DIV 5 >= 1000
+              THEN concat(amount * 4 DIV 5 DIV 1000, ' ', lpad(CAST(amount * 4 DIV 5 % 1000 AS STRING), 3, '0'))
+            ELSE CAST(amount * 4 DIV 5 AS STRING) END AS drawn_amount,
+       CAST(NULL AS STRING) AS paid_interest
+FROM facts
+"""
 
-def _spaced(x: Column) -> Column:
-    """Whole number with a blank before the last three digits."""
-    head = F.floor(x / 1000).cast("string")
-    tail = F.lpad((x % 1000).cast("string"), 3, "0")
-    return F.when(x >= 1000, F.concat(head, F.lit(" "), tail)).otherwise(x.cast("string"))
+# The footer of each file: a row of zeros that states the number of rows.
+_FOOTER_SQL = """
+SELECT source_file, year, 9000000000000000 AS pos, 'ZZZ' AS statement,
+       CAST(NULL AS STRING) AS muni_id, CAST(NULL AS STRING) AS borrower_ico,
+       CAST(NULL AS STRING) AS lender_ico, CAST(NULL AS STRING) AS lender_name,
+       CAST(NULL AS STRING) AS purpose, CAST(NULL AS STRING) AS rate_text,
+       CAST(NULL AS STRING) AS signed_on, CAST(NULL AS STRING) AS matures_on,
+       '0' AS agreed_amount, '0' AS drawn_amount, CAST(count(*) AS STRING) AS paid_interest
+FROM {rows} GROUP BY source_file, year
+"""
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data rows and footers of four yearly files, all columns as filed."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    y = F.col("year")
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    loans = orders.select(
-        F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("c"),
-        (F.floor(F.col("o_totalprice") / 25000) * 25000).cast("bigint").alias("base"),
-        F.trunc("o_orderdate", "month").alias("month"),
-        status,
-        priority,
-    ).withColumn("year", F.explode(F.sequence(F.lit(FIRST_YEAR), F.lit(LAST_YEAR))))
-
-    unreported = (
-        ((status == "F") & (priority == "5-LOW") & (y > 2022))
-        | ((status == "F") & (priority == "4-NOT SPECIFIED") & (y > 2021))
-        | ((status == "P") & (priority == "1-URGENT") & (y == 2022))
-        | ((status == "P") & (priority == "2-HIGH") & y.isin(2022, 2023))
-        | ((status == "O") & (priority == "2-HIGH") & (y < 2023))
-    )
-    loans = loans.filter(~unreported)
-
-    copies = F.when(_every(61) & (y == 2021 + F.floor(F.col("k") / 61) % 4), 1).otherwise(0)
-    loans = loans.withColumn("copy", F.explode(F.sequence(F.lit(0), copies)))
-
-    bank = (F.col("c") + F.col("k") % 3) % 120
-    bank_ico = (45000000 + bank * 1001).cast("string")
-    amount = (
-        F.col("base")
-        + F.when(_every(13) & (y >= 2023), 50000).otherwise(0)
-        + F.when(_every(9) & (y == 2022), 10).otherwise(0)
-    )
-    drawn = F.floor(amount * 4 / 5).cast("bigint")
-    extra_days = (
-        F.when(_every(7) & (y >= 2022), 400).otherwise(0)
-        - F.when(_every(14) & (y >= 2023), 500).otherwise(0)
-        + F.when(_every(41) & (y >= 2022), 10).otherwise(0)
-    )
-    maturity = F.date_add(
-        F.add_months("month", ((22 + F.col("k") % 9) * 12).cast("int")), extra_days
-    )
-    purpose = F.concat(F.lit("Výstavba č. "), (F.col("k") % 17).cast("string"))
-
-    rows = loans.select(
-        F.format_string("loans_%d012.tsv", y).alias("source_file"),
-        "year",
-        (F.col("k") * 2 + F.col("copy")).alias("pos"),
-        F.lit("80").alias("statement"),
-        (1000000000 + F.col("c")).cast("string").alias("muni_id"),
-        (200000 + F.col("c")).cast("string").alias("borrower_ico"),
-        _pick(
-            (_every(97), "0"),
-            (_every(101), None),
-            (_every(89), F.substring(bank_ico, 1, 7)),
-            (_every(83) & (y >= 2023), F.concat(bank_ico, F.lit(".0"))),
-            default=bank_ico,
-        ).alias("lender_ico"),
-        _pick(
-            (_every(53), None),
-            (_every(31), F.concat(F.lit("Banka "), bank.cast("string"), F.lit(", a.s."))),
-            default=F.concat(F.lit("Banka "), bank.cast("string")),
-        ).alias("lender_name"),
-        _pick(
-            (_every(47), None),
-            ((F.col("copy") == 1) & _every(2), "rekonstrukce"),
-            (_every(3) & (y >= 2023), F.concat(F.upper(purpose), F.lit(" "))),
-            default=purpose,
-        ).alias("purpose"),
-        _pick(
-            (y == 2021, None),
-            (F.col("k") % 8 == 0, "1,32"),
-            (F.col("k") % 8 == 1, "2.46%"),
-            (F.col("k") % 8 == 2, "4,20% p.a."),
-            (F.col("k") % 8 == 3, "bezúročná"),
-            (F.col("k") % 8 == 4, "6M PRIBOR + 0,45%p.a."),
-            (F.col("k") % 8 == 5, None),
-            (F.col("k") % 8 == 6, F.concat((y - 2020).cast("string"), F.lit(",5"))),
-            (y == 2022, "0,00"),
-            default="0",
-        ).alias("rate_text"),
-        _pick(
-            (_every(131), "neznámé"),
-            (_every(71) & (y == 2023), F.concat(F.date_format("month", "yyyyMM"), F.lit("11"))),
-            default=F.date_format("month", "yyyyMMdd"),
-        ).alias("signed_on"),
-        F.date_format(maturity, "yyyyMMdd").alias("matures_on"),
-        _pick(
-            (_every(211), "neuvedeno"),
-            (_every(5), F.concat(amount.cast("string"), F.lit(",50"))),
-            (_every(11), _spaced(amount)),
-            default=amount.cast("string"),
-        ).alias("agreed_amount"),
-        _pick((_every(43), None), (_every(11), _spaced(drawn)), default=drawn.cast("string")).alias("drawn_amount"),
-        F.lit(None).cast("string").alias("paid_interest"),
-    )
-    # The footer of each file: a row of zeros that states the number of rows.
-    footers = rows.groupBy("source_file", "year").agg(F.count("*").alias("n")).select(
-        "source_file",
-        "year",
-        F.lit(9_000_000_000_000_000).alias("pos"),
-        F.lit("ZZZ").alias("statement"),
-        *(F.lit(None).cast("string").alias(c) for c in (
-            "muni_id", "borrower_ico", "lender_ico", "lender_name", "purpose", "rate_text", "signed_on", "matures_on",
-        )),
-        F.lit("0").alias("agreed_amount"),
-        F.lit("0").alias("drawn_amount"),
-        F.col("n").cast("string").alias("paid_interest"),
-    )
-    return rows.unionByName(footers)
+    rows = spark.sql(_SPARK_SQL, orders=orders)
+    return rows.unionByName(spark.sql(_FOOTER_SQL, rows=rows))
 
 
 # The same panel for the comparison engine.
