@@ -23,10 +23,10 @@ def scratch_folder(spark: SparkSession) -> str:
     return _local_folder[0]
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a table once and read it back: later plans start from columnar
     files of known size instead of recomputing their input."""
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
