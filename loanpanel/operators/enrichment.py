@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import registry_key
-from ..sources.scratch import materialise
+from ..sources.scratch import cut
 from .lookup import lookup
 
 # Outcomes of a lookup that found nothing.
@@ -91,7 +91,7 @@ def resolve_lenders(loans: DataFrame, registry: DataFrame, codelist: DataFrame)
 
 def enrich(loans: DataFrame, registry: DataFrame, codelist: DataFrame) -> DataFrame:
     """Add the registry columns to every loan."""
-    lenders = materialise(resolve_lenders(loans, registry, codelist), "lenders")
+    lenders = cut(resolve_lenders(loans, registry, codelist))
     return lookup(loans, lenders, ["lender_ico"], weight="n")
 
 

@@ -8,6 +8,7 @@ in the file decides who claims first, so ``pos`` is identity and order in one.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,31 +70,34 @@ def with_dates(rows: DataFrame) -> DataFrame:
     )
 
 
-def link_rows(loans: DataFrame) -> DataFrame:
-    """The columns the linkage works on."""
-    mark = F.col("yoy_change") if "yoy_change" in loans.columns else F.lit(None).cast("string")
-    return with_dates(
-        loans.select(
-            "year", "pos", "composite_id", "id", "dedup_suffix", *GROUP,
-            parse_amount(F.col("agreed_amount")).alias("amount"),
-            to_number(F.substring("matures_on", 1, 4)).alias("maturity_year"),
-            F.coalesce(mark, F.lit("")).alias("yoy_change"),
-        )
-    )
+def _neighbour(years: Sequence[int], step: int) -> Column:
+    """The period before or after a row's own, by position."""
+    pairs = zip(years, years[1:]) if step > 0 else zip(years[1:], years)
+    year = F
+    for own, other in pairs:
+        year = year.when(F.col("year") == own, F.lit(other))
+    return year.otherwise(F.lit(None)).cast("int")
 
 
-def mark_missing(rows: DataFrame, later: DataFrame, presence_key: str | None) -> DataFrame:
-    """Add ``missing``: the loan matures in a later year than it is reported
-    in, and no report of the later year has its ``presence_key``."""
-    due = F.coalesce(F.col("maturity_year") > F.col("year"), F.lit(False))
-    if presence_key is None:
-        return rows.withColumn("missing", due)
-    present = later.select(presence_key, F.lit(True).alias("_present")).distinct()
-    return (
-        rows.join(present, presence_key, "left")
-        .withColumn("missing", due & F.col("_present").isNull())
-        .drop("_present")
-    )
+def link_rows(loans: DataFrame, years: Sequence[int], presence_key: str | None) -> DataFrame:
+    """The columns the linkage works on. ``missing`` marks a loan that matures
+    in a later year than it is reported in, where no report of the next period
+    has its ``presence_key``."""
+    mark = F.col("yoy_change") if "yoy_change" in loans.columns else F.lit(None).cast("string")
+    rows = loans.select(
+        "year", "pos", "composite_id", "id", "dedup_suffix", *GROUP,
+        parse_amount(F.col("agreed_amount")).alias("amount"),
+        to_number(F.substring("matures_on", 1, 4)).alias("maturity_year"),
+        F.coalesce(mark, F.lit("")).alias("yoy_change"),
+    ).withColumns({"previous_year": _neighbour(years, -1), "next_year": _neighbour(years, 1)})
+    missing = F.coalesce(F.col("maturity_year") > F.col("year"), F.lit(False)) & F.col("next_year").isNotNull()
+    if presence_key is not None:
+        present = (
+            loans.select(F.col("year").alias("next_year"), presence_key, F.lit(True).alias("_present")).distinct()
+        )
+        rows = rows.join(present, ["next_year", presence_key], "left")
+        missing = missing & F.col("_present").isNull()
+    return with_dates(rows.withColumn("missing", missing).drop("_present", "maturity_year"))
 
 
 def group_label(muni: Column, lender: Column, start: Column) -> Column:
@@ -139,11 +143,40 @@ def same_start_counts(rows: DataFrame) -> DataFrame:
             F.max("mat_date").alias("mat_date"),
             F.bool_or(F.col("yoy_change") == EXTENDED).alias("was_extended"),
             F.bool_or(F.col("yoy_change") == SHORTENED).alias("was_shortened"),
-            *([F.bool_or("missing").alias("missing")] if "missing" in rows.columns else []),
+            F.bool_or("missing").alias("missing"),
+        )
+    )
+
+
+def shared_starts(rows1: DataFrame, rows2: DataFrame) -> DataFrame:
+    """Starts in both years: (group columns, start_date, n_l, n_c, missing),
+    and for loans alone with their start in both years their positions and the
+    verdict of the date rules (l_pos, c_pos, signal)."""
+    mark = F.when(F.col("a.was_extended"), EXTENDED).when(F.col("a.was_shortened"), SHORTENED).otherwise("")
+    start, n_l, n_c = F.col("start_date"), F.col("a.n"), F.col("b.n")
+    l_mat, c_mat = F.col("a.mat_date"), F.col("b.mat_date")
+    # With equal starts the texts differ in the maturity only.
+    l_text, c_text = F.date_format(l_mat, "yyyyMMdd"), F.date_format(c_mat, "yyyyMMdd")
+    alone = (n_l == 1) & (n_c == 1) & F.col("a.missing")
+    return (
+        same_start_counts(rows1).alias("a")
+        .join(same_start_counts(rows2).alias("b"), [*GROUP, "start_date"])
+        .select(
+            *GROUP, "start_date", n_l.alias("n_l"), n_c.alias("n_c"), F.col("a.missing").alias("missing"),
+            F.when(alone, F.col("a.pos")).alias("l_pos"),
+            F.when(alone, F.col("b.pos")).alias("c_pos"),
+            F.when(
+                alone, pair_signal(start, start, l_mat, c_mat, l_text, c_text, mark, n_l, n_c)
+            ).alias("signal"),
         )
     )
 
 
+def collisions(starts: DataFrame) -> DataFrame:
+    """Starts that more than one loan has in either year."""
+    return starts.filter(F.col("missing") & ((F.col("n_l") > 1) | (F.col("n_c") > 1))).select(*GROUP, "start_date")
+
+
 def pair_signal(
     l_start: Column, c_start: Column, l_mat: Column, c_mat: Column,
     l_dates: Column, c_dates: Column, mark: Column, n_l: Column, n_c: Column,
@@ -167,23 +200,6 @@ def pair_signal(
     return F.when(same_start, moved).otherwise(typo)
 
 
-def lone_pairs(starts1: DataFrame, starts2: DataFrame) -> DataFrame:
-    """Pairs of loans that are alone with their start date in both years, with
-    the verdict of the date rules: (l_pos, c_pos, signal)."""
-    mark = F.when(F.col("a.was_extended"), EXTENDED).when(F.col("a.was_shortened"), SHORTENED).otherwise("")
-    start, one = F.col("start_date"), F.lit(1)
-    l_mat, c_mat = F.col("a.mat_date"), F.col("b.mat_date")
-    # With equal starts the texts differ in the maturity only.
-    l_text, c_text = F.date_format(l_mat, "yyyyMMdd"), F.date_format(c_mat, "yyyyMMdd")
-    signal = pair_signal(start, start, l_mat, c_mat, l_text, c_text, mark, one, one)
-    return (
-        starts1.filter((F.col("n") == 1) & F.col("missing")).alias("a")
-        .join(starts2.filter(F.col("n") == 1).alias("b"), [*GROUP, "start_date"])
-        .select(F.col("a.pos").alias("l_pos"), F.col("b.pos").alias("c_pos"), signal.alias("signal"))
-        .filter(F.col("signal").isNotNull())
-    )
-
-
 def amount_edges(left: DataFrame, right: DataFrame, by: list[str], tolerance: float) -> DataFrame:
     """Pairs of distinct amounts within ``tolerance`` of each other, joined on
     ``by`` and a logarithmic bucket as wide as the tolerance: close amounts lie

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,28 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a table once and read it back: later plans start from columnar
-    files of known size instead of recomputing their input."""
+    """Write a table once and read it back: for tables many later plans read
+    in parts, from columnar files of known size."""
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute a narrow intermediate table once, as a reliable checkpoint."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_folder(df.sparkSession))
+    return df.checkpoint()
+
+
+def together(*tasks: Callable[[], object]) -> list:
+    """Run driver-side tasks at once, so that their jobs share the cluster."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
+def cut_all(*tables: DataFrame) -> list[DataFrame]:
+    """Compute independent intermediate tables at the same time."""
+    return together(*(lambda t=t: cut(t) for t in tables))
