@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.amounts import parse_amount, to_number, within_tolerance
@@ -70,6 +70,12 @@ def with_dates(rows: DataFrame) -> DataFrame:
     )
 
 
+def period_pairs(loans: DataFrame) -> DataFrame:
+    """Each period with the one that follows it in the panel."""
+    years = loans.select("year").distinct()
+    return years.withColumn("next_year", F.lead("year").over(Window.orderBy("year"))).na.drop()
+
+
 def _neighbour(years: Sequence[int], step: int) -> Column:
     """The period before or after a row's own, by position."""
     pairs = zip(years, years[1:]) if step > 0 else zip(years[1:], years)

@@ -225,3 +225,90 @@ UNION ALL SELECT 'has_string', has_string, count(*) FROM rate_panel GROUP BY ALL
 ORACLE["suffix_guard"] = over_identified(
     "SELECT source_file, count(*) AS n FROM identified WHERE dedup_suffix IS NOT NULL GROUP BY source_file"
 )
+
+DAY = """(CASE WHEN try_strptime({0}, '%Y%m%d') BETWEEN '1677-09-22' AND '2262-04-11'
+  AND regexp_matches({0}, '^[0-9]{{8}}$') THEN CAST(try_strptime({0}, '%Y%m%d') AS DATE) END)"""
+
+LINK_ROWS = f"""{IDENTIFIED}, link_rows AS (
+  SELECT year, pos, composite_id, id, dedup_suffix, muni_id, lender_ico, lender_name, purpose,
+         agreed_amount, drawn_amount, {money('agreed_amount')} AS amount,
+         {DAY.format("split_part(id, '-', 3)")} AS start_date, {DAY.format("split_part(id, '-', 4)")} AS mat_date,
+         split_part(id, '-', 3) || '-' || split_part(id, '-', 4) AS dates,
+         coalesce(TRY_CAST(substr(matures_on, 1, 4) AS DOUBLE) > year AND year < 2024, false) AS expected
+  FROM identified WHERE reason IS NULL
+)"""
+
+CLOSE = """(({0} = 0 AND {1} = 0) OR (greatest(abs({0}), abs({1})) > 0
+  AND abs({0} - {1}) / greatest(abs({0}), abs({1})) <= 0.001))"""
+
+SAME_GROUP = "c.muni_id = l.muni_id AND c.lender_ico = l.lender_ico"
+
+ORACLE["period_pairs"] = over_panel(
+    "SELECT * FROM (SELECT year, lead(year) OVER (ORDER BY year) AS next_year FROM (SELECT DISTINCT year FROM panel))"
+    " WHERE next_year IS NOT NULL"
+)
+ORACLE["link_dates"] = f"WITH {LINK_ROWS} SELECT year, pos, start_date, mat_date, dates FROM link_rows"
+ORACLE["expected_loans"] = f"WITH {LINK_ROWS} SELECT year, pos, composite_id FROM link_rows WHERE expected"
+ORACLE["missing_next_year"] = f"""WITH {LINK_ROWS} SELECT year, pos, id FROM link_rows l
+WHERE expected AND NOT EXISTS (FROM link_rows c WHERE c.year = l.year + 1 AND c.id = l.id)"""
+ORACLE["link_candidates"] = f"""WITH {LINK_ROWS} SELECT l.year, l.pos, count(c.pos) AS n_candidates
+FROM link_rows l LEFT JOIN link_rows c ON c.year = l.year + 1 AND {SAME_GROUP} WHERE l.expected GROUP BY ALL"""
+ORACLE["collision_count"] = f"""WITH {LINK_ROWS} SELECT muni_id, lender_ico, start_date, count(*) AS n FROM link_rows
+WHERE year = 2022 AND muni_id IS NOT NULL AND lender_ico IS NOT NULL AND start_date IS NOT NULL GROUP BY ALL"""
+ORACLE["amount_matches"] = f"""WITH {LINK_ROWS}
+SELECT l.year, l.muni_id, l.lender_ico, l.amount AS l_amount, c.amount AS c_amount,
+       count(DISTINCT l.pos) AS n_l, count(DISTINCT c.pos) AS n_c
+FROM link_rows l JOIN link_rows c ON c.year = l.year + 1 AND {SAME_GROUP} AND {CLOSE.format('l.amount', 'c.amount')}
+WHERE l.expected GROUP BY ALL"""
+ORACLE["unique_amount_link"] = f"""WITH {LINK_ROWS} SELECT l.year, l.pos, max(c.pos) AS c_pos
+FROM link_rows l JOIN link_rows c ON c.year = l.year + 1 AND {SAME_GROUP} AND {CLOSE.format('l.amount', 'c.amount')}
+WHERE l.expected GROUP BY ALL HAVING count(*) = 1"""
+ORACLE["gap_candidates"] = f"""WITH {LINK_ROWS}
+SELECT DISTINCT l.year, l.muni_id, l.lender_ico, l.amount AS l_amount, c.year AS gap_year, c.amount AS c_amount
+FROM link_rows l JOIN link_rows c ON c.year > l.year + 1 AND {SAME_GROUP} AND {CLOSE.format('l.amount', 'c.amount')}
+WHERE l.expected"""
+ORACLE["link_signals"] = f"""WITH {LINK_ROWS}, starts AS (
+  SELECT year, muni_id, lender_ico, start_date, count(*) AS n, max(pos) AS pos, max(mat_date) AS mat_date,
+         bool_or(expected) AS missing
+  FROM link_rows WHERE muni_id IS NOT NULL AND lender_ico IS NOT NULL AND start_date IS NOT NULL GROUP BY ALL
+), pairs AS (
+  SELECT l.muni_id, l.lender_ico, l.start_date, l.n AS n_l, c.n AS n_c, l.missing, l.pos AS lp, c.pos AS cp,
+         l.n = 1 AND c.n = 1 AND l.missing AS alone, date_diff('day', l.mat_date, c.mat_date) AS days
+  FROM starts l JOIN starts c ON l.year = 2021 AND c.year = 2022 AND {SAME_GROUP} AND c.start_date = l.start_date
+)
+SELECT muni_id, lender_ico, start_date, n_l, n_c, missing,
+       CASE WHEN alone THEN lp END AS l_pos, CASE WHEN alone THEN cp END AS c_pos,
+       CASE WHEN NOT alone OR days = 0 THEN NULL
+            WHEN abs(days) < 30 THEN 'Small duration change (' || days || ' days). Possible typo.'
+            ELSE 'auto' END AS signal
+FROM pairs"""
+
+ORDER_PAIRS = f"""{IDENTIFIED}, pairs AS (
+  SELECT a.pos // 2 AS k, a.year AS y1, b.year AS y2,
+         a.composite_id AS y1_composite_id, b.composite_id AS y2_composite_id
+  FROM identified a JOIN identified b ON a.pos // 2 = b.pos // 2 AND a.year < b.year
+  WHERE a.reason IS NULL AND b.reason IS NULL
+), store AS (
+  SELECT y1_composite_id, y2_composite_id, CASE WHEN (k + y2) % 5 < 2 THEN 'N' ELSE 'Y' END AS decision,
+         k * 20 + y2 - y1 AS seq FROM pairs WHERE k % 4 <> 3
+  UNION ALL
+  SELECT y1_composite_id, y2_composite_id, CASE WHEN (k + y2) % 5 = 0 THEN 'Y' ELSE 'N' END,
+         k * 20 + 10 + y2 - y1 FROM pairs WHERE (k + y2) % 5 IN (0, 4) AND k % 4 <> 3
+), latest AS (
+  SELECT y1_composite_id, y2_composite_id, arg_max(decision, seq) AS decision FROM store GROUP BY ALL
+), queue AS (
+  SELECT y1_composite_id, y2_composite_id, k * 100 + (y1 - 2020) * 10 + y2 - 2020 AS queue_no,
+         ['y ', 'N', 'maybe', ' n', 'Y', ''][k % 6 + 1] AS decision FROM pairs
+), fresh AS (
+  SELECT y1_composite_id, y2_composite_id, queue_no, upper(trim(decision)) AS decision FROM queue q
+  WHERE upper(trim(decision)) IN ('Y', 'N') AND NOT EXISTS (
+    FROM store s WHERE s.y1_composite_id = q.y1_composite_id AND s.y2_composite_id = q.y2_composite_id)
+)"""
+ORACLE["unapplied_reviews"] = f"WITH {ORDER_PAIRS} SELECT * FROM fresh"
+ORACLE["ingest_reviews"] = f"""WITH {ORDER_PAIRS}
+SELECT y1_composite_id, y2_composite_id, arg_min(decision, queue_no) AS decision,
+       (SELECT coalesce(max(seq), 0) FROM store) + min(queue_no) + 1 AS seq
+FROM fresh GROUP BY y1_composite_id, y2_composite_id"""
+ORACLE["decisions_applied"] = f"""WITH {ORDER_PAIRS}
+SELECT q.y1_composite_id, q.y2_composite_id, q.queue_no, l.decision FROM queue q
+LEFT JOIN latest l ON l.y1_composite_id = q.y1_composite_id AND l.y2_composite_id = q.y2_composite_id"""

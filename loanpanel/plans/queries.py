@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import amounts, rates, text
-from ..operators import enrichment, identity, reports, typos
+from ..operators import (
+    decisions, enrichment, identity, link_claims, link_gaps, link_rules, linkage, reports, typos,
+)
 from ..operators import rate_panel as rate_panel_ops
+from ..sources.scratch import materialise
 from .sample_panel import raw_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,3 +224,176 @@ def rate_class_counts(spark, sf_dir):
 @query
 def suffix_guard(spark, sf_dir):
     return rate_panel_ops.suffix_violations(identified_panel(spark, sf_dir))
+
+
+# --- linkage: its parts, before anything is claimed -------------------------
+
+YEARS = (2021, 2022, 2023, 2024)
+
+
+def sample_link_rows(spark, sf_dir, presence_key=None) -> DataFrame:
+    return link_rules.link_rows(kept_panel(spark, sf_dir), YEARS, presence_key)
+
+
+def sample_edges(rows: DataFrame) -> DataFrame:
+    return link_claims.candidate_edges(rows, link_rules.AMOUNT_TOLERANCE)
+
+
+@query
+def period_pairs(spark, sf_dir):
+    return link_rules.period_pairs(raw_panel(spark, sf_dir))
+
+
+@query
+def link_dates(spark, sf_dir):
+    return sample_link_rows(spark, sf_dir).select("year", "pos", "start_date", "mat_date", "dates")
+
+
+@query
+def expected_loans(spark, sf_dir):
+    return sample_link_rows(spark, sf_dir).filter("missing").select("year", "pos", "composite_id")
+
+
+@query
+def missing_next_year(spark, sf_dir):
+    return sample_link_rows(spark, sf_dir, "id").filter("missing").select("year", "pos", "id")
+
+
+@query
+def link_candidates(spark, sf_dir):
+    return link_claims.candidate_counts(sample_link_rows(spark, sf_dir))
+
+
+@query
+def collision_count(spark, sf_dir):
+    rows = sample_link_rows(spark, sf_dir)
+    return link_rules.same_start_counts(rows.filter(F.col("year") == 2022)).select(
+        "muni_id", "lender_ico", "start_date", "n"
+    )
+
+
+@query
+def amount_matches(spark, sf_dir):
+    return sample_edges(sample_link_rows(spark, sf_dir)).select(
+        "year", "muni_id", "lender_ico", "l_amount", "c_amount", "n_l", "n_c"
+    )
+
+
+@query
+def unique_amount_link(spark, sf_dir):
+    rows = materialise(sample_link_rows(spark, sf_dir), "link-rows", partition_by=["year"])
+    return link_claims.unique_amount_matches(rows, sample_edges(rows))
+
+
+@query
+def link_signals(spark, sf_dir):
+    rows = materialise(sample_link_rows(spark, sf_dir), "link-rows", partition_by=["year"])
+    return link_rules.shared_starts(rows.filter(F.col("year") == 2021), rows.filter(F.col("year") == 2022))
+
+
+@query
+def gap_candidates(spark, sf_dir):
+    rows = sample_link_rows(spark, sf_dir)
+    loans = rows.filter("missing").select("year", *link_rules.GROUP, F.col("amount").alias("l_amount"))
+    later = rows.select(F.col("year").alias("gap_year"), *link_rules.GROUP, F.col("amount").alias("c_amount"))
+    return link_gaps.gap_edges(
+        loans.na.drop("any", subset=link_rules.GROUP), later.na.drop("any", subset=link_rules.GROUP),
+        link_rules.AMOUNT_TOLERANCE,
+    )
+
+
+# --- decisions --------------------------------------------------------------
+
+def same_order_pairs(spark, sf_dir) -> DataFrame:
+    """Reports of one order in different years, as a person would pair them."""
+    kept = kept_panel(spark, sf_dir).select(
+        F.floor(F.col("pos") / 2).alias("k"), "year", "composite_id"
+    )
+    a = kept.withColumnsRenamed({"composite_id": "y1_composite_id", "year": "y1"})
+    b = kept.withColumnsRenamed({"composite_id": "y2_composite_id", "year": "y2"})
+    return a.join(b, "k").filter("y1 < y2")
+
+
+def sample_decisions(spark, sf_dir) -> DataFrame:
+    """A decision store: earlier answers first, some of them revised."""
+    return same_order_pairs(spark, sf_dir).selectExpr(
+        "y1_composite_id", "y2_composite_id",
+        "inline(array(named_struct('decision', IF((k + y2) % 5 < 2, 'N', 'Y'), 'seq', k * 20 + y2 - y1),"
+        " named_struct('decision', IF((k + y2) % 5 = 0, 'Y', IF((k + y2) % 5 = 4, 'N', NULL)), 'seq', k * 20 + 10 + y2 - y1)))",
+    ).filter("decision IS NOT NULL AND seq DIV 20 % 4 <> 3")
+
+
+def sample_queue(spark, sf_dir) -> DataFrame:
+    """A review queue, partly filled in."""
+    return same_order_pairs(spark, sf_dir).selectExpr(
+        "y1_composite_id", "y2_composite_id", "k * 100 + (y1 - 2020) * 10 + y2 - 2020 AS queue_no",
+        "CASE k % 6 WHEN 0 THEN 'y ' WHEN 1 THEN 'N' WHEN 2 THEN 'maybe' WHEN 3 THEN ' n' WHEN 4 THEN 'Y' ELSE '' END"
+        " AS decision",
+    )
+
+
+@query
+def unapplied_reviews(spark, sf_dir):
+    return decisions.unapplied_reviews(sample_queue(spark, sf_dir), sample_decisions(spark, sf_dir))
+
+
+@query
+def ingest_reviews(spark, sf_dir):
+    return decisions.new_decisions(sample_queue(spark, sf_dir), sample_decisions(spark, sf_dir))
+
+
+@query
+def decisions_applied(spark, sf_dir):
+    return decisions.apply_decisions(sample_queue(spark, sf_dir), sample_decisions(spark, sf_dir))
+
+
+# --- linkage: whole runs ----------------------------------------------------
+
+_runs: dict[tuple, linkage.Linkage] = {}
+
+
+def linked(spark, sf_dir, dry_run=False) -> linkage.Linkage:
+    """One run per session and table folder; its results are stored tables
+    that several queries look at."""
+    key = (spark.sparkContext.applicationId, sf_dir, dry_run)
+    if key not in _runs:
+        reports = materialise(kept_panel(spark, sf_dir), "kept", partition_by=["year"])
+        _runs[key] = linkage.link_panel(reports, sample_decisions(spark, sf_dir), dry_run=dry_run)
+    return _runs[key]
+
+
+@query
+def link_outcome(spark, sf_dir):
+    return linked(spark, sf_dir).outcomes()
+
+
+@query
+def linked_panel(spark, sf_dir):
+    return linked(spark, sf_dir).panel().select(
+        "year", "pos", "composite_id", "id", "dedup_suffix", "yoy_change"
+    )
+
+
+@query
+def early_payoffs(spark, sf_dir):
+    return linked(spark, sf_dir).early_payoffs().select("year", "pos", "composite_id", "id", "yoy_change")
+
+
+@query
+def review_queue(spark, sf_dir):
+    return linked(spark, sf_dir).review_queue()
+
+
+@query
+def link_stats(spark, sf_dir):
+    return linked(spark, sf_dir).stats()
+
+
+@query
+def link_dry_run(spark, sf_dir):
+    return linked(spark, sf_dir, dry_run=True).stats()
+
+
+@query
+def review_reason_counts(spark, sf_dir):
+    return linked(spark, sf_dir, dry_run=True).reason_counts()
