@@ -312,3 +312,8 @@ FROM fresh GROUP BY y1_composite_id, y2_composite_id"""
 ORACLE["decisions_applied"] = f"""WITH {ORDER_PAIRS}
 SELECT q.y1_composite_id, q.y2_composite_id, q.queue_no, l.decision FROM queue q
 LEFT JOIN latest l ON l.y1_composite_id = q.y1_composite_id AND l.y2_composite_id = q.y2_composite_id"""
+
+ORACLE["header_normalize"] = over_panel(
+    "SELECT year, statement, muni_id, borrower_ico, lender_ico, lender_name, purpose, rate_text, signed_on,"
+    " matures_on, agreed_amount, drawn_amount, paid_interest FROM panel"
+)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +14,16 @@ from ..operators import (
     decisions, enrichment, identity, link_claims, link_gaps, link_rules, linkage, reports, typos,
 )
 from ..operators import rate_panel as rate_panel_ops
-from ..sources.scratch import materialise
+from ..sources import readers, writers
+from ..sources.scratch import materialise, scratch_folder
 from .sample_panel import raw_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+YEARS = (2021, 2022, 2023, 2024)
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -29,6 +34,38 @@ def identified_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.identify(raw_panel(spark, sf_dir))
 
 
+# --- yearly files ------------------------------------------------------------
+
+# Headers as files of different years might word them.
+FILE_HEADERS = {
+    "statement": '"Výkaz"ZC_VYKAZ:ZC_VYKAZ', "muni_id": "Účetní  jednotka ZC_UCJED:ZC_UCJED",
+    "borrower_ico": " IČO ZC_ICO:ZC_ICO", "lender_ico": "IČO poskytovatele/BIC/ZC_PARTP:ZC_PARTP",
+    "lender_name": '""Název""/BIC/ZC_NAZPOS:ZC_NAZPOS ', "purpose": "Účel/BIC/ZC_UCFP:ZC_UCFP",
+    "rate_text": "Sazba/BIC/ZC_URSA:ZC_URSA", "signed_on": "Uzavření/BIC/ZC_DATUS:ZC_DATUS",
+    "matures_on": "Splatnost/BIC/ZC_TERSPL:ZC_TERSPL", "agreed_amount": "Sjednaná   výše ZU_VYUV",
+    "drawn_amount": "Čerpaná výše ZU_CEUV", "paid_interest": "Úroky ZU_ZAPUP",
+}
+
+
+@query
+def header_normalize(spark, sf_dir):
+    """The panel written as yearly files, the first year without rates and the
+    later ones in another order of columns, and read back."""
+    panel = raw_panel(spark, sf_dir)
+    folder = f"{scratch_folder(spark)}/yearly-{uuid.uuid4().hex}"
+    for year in YEARS:
+        columns = [c for c in FILE_HEADERS if year > 2021 or c != "rate_text"]
+        columns = columns if year % 2 else columns[::-1]
+        panel.filter(F.col("year") == year).select(
+            *(F.col(c).alias(FILE_HEADERS[c]) for c in columns)
+        ).write.csv(f"{folder}/{year}", **writers.TEXT_TABLE | {"sep": ";"})
+    files = [
+        readers.read_panel(spark, f"{folder}/{year}", "*.csv", ";", period=r"(part)").panel.drop("year")
+        .withColumn("year", F.lit(year)) for year in YEARS
+    ]
+    return reduce(DataFrame.unionByName, files).select("year", *FILE_HEADERS)
+
+
 # --- scalar expressions ----------------------------------------------------
 
 @query
@@ -192,8 +229,17 @@ def typo_wide(spark, sf_dir):
 
 # --- interest rates --------------------------------------------------------
 
+_stored: dict[tuple, DataFrame] = {}
+
+
 def kept_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity.kept(identified_panel(spark, sf_dir))
+    """The kept rows as a stored table: what the later steps of a real run
+    start from. Written once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        kept = identity.kept(identified_panel(spark, sf_dir))
+        _stored[key] = materialise(kept, "kept", partition_by=["year"])
+    return _stored[key]
 
 
 def sample_rate_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,9 +274,6 @@ def suffix_guard(spark, sf_dir):
 
 # --- linkage: its parts, before anything is claimed -------------------------
 
-YEARS = (2021, 2022, 2023, 2024)
-
-
 def sample_link_rows(spark, sf_dir, presence_key=None) -> DataFrame:
     return link_rules.link_rows(kept_panel(spark, sf_dir), YEARS, presence_key)
 
@@ -357,8 +400,9 @@ def linked(spark, sf_dir, dry_run=False) -> linkage.Linkage:
     that several queries look at."""
     key = (spark.sparkContext.applicationId, sf_dir, dry_run)
     if key not in _runs:
-        reports = materialise(kept_panel(spark, sf_dir), "kept", partition_by=["year"])
-        _runs[key] = linkage.link_panel(reports, sample_decisions(spark, sf_dir), dry_run=dry_run)
+        _runs[key] = linkage.link_panel(
+            kept_panel(spark, sf_dir), sample_decisions(spark, sf_dir), dry_run=dry_run
+        )
     return _runs[key]
 
 
