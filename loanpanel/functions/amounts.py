@@ -13,20 +13,17 @@ NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 def to_number(text: Column) -> Column:
     """Double for plain decimal notation, NULL for anything else."""
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
 
 
 def parse_amount(raw: Column) -> Column:
     """Amount with blanks as thousands separators and a decimal comma, NULL
     when it is not a number."""
-    return to_number(F.replace(F.replace(strip(raw), F.lit(" "), F.lit("")), F.lit(","), F.lit(".")))
+    return to_number(F.translate(strip(raw), ", ", "."))
 
 
 def parse_amount_or_zero(raw: Column) -> Column:
-    return F.coalesce(
-        to_number(F.replace(F.replace(raw, F.lit(" "), F.lit("")), F.lit(","), F.lit("."))),
-        F.lit(0.0),
-    )
+    return F.coalesce(to_number(F.translate(raw, ", ", ".")), F.lit(0.0))
 
 
 def whole_units(amount: Column) -> Column:

@@ -12,8 +12,12 @@ NA_TOKENS = (
     "n/a", "nan", "null",
 )
 
-# Java's \s is ASCII only unless (?U) is set, and leaves out U+001C..U+001F.
-_SPACE = r"[\s\x1c-\x1f]"
+# Every blank of the Unicode standard and the four information
+# separators. Spark's own trim drops U+0020 only.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def na_to_null(text: Column) -> Column:
@@ -22,25 +26,30 @@ def na_to_null(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Trim every Unicode blank; Spark's own trim drops U+0020 only."""
-    return F.regexp_replace(text, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    """Trim blanks of every kind."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def zero_fill(text: Column, width: int) -> Column:
-    """Left-pad with zeros, after a leading sign, never cutting long text."""
-    signed = text.rlike("^[+-]")
-    sign = F.when(signed, F.substring(text, 1, 1)).otherwise(F.lit(""))
-    body = F.when(signed, F.substr(text, F.lit(2))).otherwise(text)
-    padded = F.concat(sign, F.lpad(body, F.lit(width) - F.length(sign), "0"))
-    return F.when(F.length(text) < width, padded).otherwise(text)
+    """Left-pad with zeros, after a leading sign, never cutting long text.
+    Mentions ``text`` several times: give it a column rather than a long
+    expression where speed matters."""
+    zeros = F.repeat(F.lit("0"), F.lit(width) - F.length(text))
+    signed = F.substring(text, 1, 1).isin("+", "-")
+    return F.when(
+        signed, F.concat(F.substring(text, 1, 1), zeros, F.substr(text, F.lit(2)))
+    ).otherwise(F.concat(zeros, text))
+
+
+def bare_id(raw: Column) -> Column:
+    """Organisation ID without blanks and a float's '.0', '0' when missing."""
+    text = F.regexp_replace(strip(raw), r"\.0$", "")
+    return F.coalesce(F.nullif(text, F.lit("nan")), F.lit("0"))
 
 
 def pad_id(raw: Column, width: int = 8) -> Column:
-    """Organisation ID as used in loan keys: trimmed, without a float's '.0',
-    '0' when missing, zero-filled."""
-    text = F.regexp_replace(strip(raw), r"\.0$", "")
-    text = F.when(text == "nan", F.lit("0")).otherwise(text)
-    return zero_fill(F.coalesce(text, F.lit("0")), width)
+    """Organisation ID as used in loan keys: bare and zero-filled."""
+    return zero_fill(bare_id(raw), width)
 
 
 def registry_key(raw: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.amounts import parse_amount_or_zero, whole_units
-from ..functions.text import pad_id, short_hash, text_or_nan
+from ..functions.text import bare_id, short_hash, text_or_nan, zero_fill
 from ..sources.scratch import cut
 from .lookup import lookup
 
@@ -16,15 +16,15 @@ DEDUP_POPULATED = "DEDUP_POPULATED"
 CROSS_REMOVED = "CROSS_REMOVED"
 
 
-def loan_id() -> Column:
+def loan_key(borrower: Column, lender: Column, agreed: Column) -> Column:
     """borrower-lender-signed-matures-amount, the same in every year."""
     return F.concat_ws(
         "-",
-        pad_id(F.col("borrower_ico")),
-        pad_id(F.col("lender_ico")),
+        zero_fill(borrower, 8),
+        zero_fill(lender, 8),
         text_or_nan(F.col("signed_on")),
         text_or_nan(F.col("matures_on")),
-        whole_units(parse_amount_or_zero(F.col("agreed_amount"))),
+        whole_units(agreed),
     )
 
 
@@ -34,14 +34,19 @@ def dedup_suffix() -> Column:
 
 
 def with_loan_id(loans: DataFrame) -> DataFrame:
-    """Add ``id`` and the parsed amounts."""
-    return loans.withColumns(
+    """Add ``id`` and the parsed amounts. What the key mentions more than once
+    is a column of its own, so that it is computed once."""
+    parsed = loans.withColumns(
         {
-            "id": loan_id(),
             "agreed": parse_amount_or_zero(F.col("agreed_amount")),
             "drawn": parse_amount_or_zero(F.col("drawn_amount")),
+            "_borrower": bare_id(F.col("borrower_ico")),
+            "_lender": bare_id(F.col("lender_ico")),
         }
     )
+    return parsed.withColumn(
+        "id", loan_key(F.col("_borrower"), F.col("_lender"), F.col("agreed"))
+    ).drop("_borrower", "_lender")
 
 
 def repeated_ids(loans: DataFrame) -> DataFrame:

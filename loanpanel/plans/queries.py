@@ -16,7 +16,7 @@ from ..operators import (
 from ..operators import rate_panel as rate_panel_ops
 from ..sources import readers, writers
 from ..sources.scratch import materialise, scratch_folder
-from .sample_panel import raw_panel
+from .sample_panel import derive_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,22 @@ def query(fn: Query) -> Query:
     return fn
 
 
+_stored: dict[tuple, DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, derive: Query) -> DataFrame:
+    """A table written once per session and table folder, as the files between
+    the steps of a real run are."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = materialise(derive(spark, sf_dir), name, partition_by=["year"])
+    return _stored[key]
+
+
+def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "raw", derive_panel)
+
+
 def identified_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.identify(raw_panel(spark, sf_dir))
 
@@ -95,7 +111,7 @@ def dedup_suffix(spark, sf_dir):
 
 @query
 def loan_id(spark, sf_dir):
-    return raw_panel(spark, sf_dir).select("year", "pos", identity.loan_id().alias("id"))
+    return identity.with_loan_id(raw_panel(spark, sf_dir)).select("year", "pos", "id")
 
 
 # --- identity and exclusion ------------------------------------------------
@@ -229,17 +245,8 @@ def typo_wide(spark, sf_dir):
 
 # --- interest rates --------------------------------------------------------
 
-_stored: dict[tuple, DataFrame] = {}
-
-
 def kept_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The kept rows as a stored table: what the later steps of a real run
-    start from. Written once per session and table folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        kept = identity.kept(identified_panel(spark, sf_dir))
-        _stored[key] = materialise(kept, "kept", partition_by=["year"])
-    return _stored[key]
+    return stored(spark, sf_dir, "kept", lambda *at: identity.kept(identified_panel(*at)))
 
 
 def sample_rate_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,7 +432,14 @@ def early_payoffs(spark, sf_dir):
 
 @query
 def review_queue(spark, sf_dir):
-    return linked(spark, sf_dir).review_queue()
+    return linked(spark, sf_dir).review_queue().drop("purpose_similarity")
+
+
+@query
+def purpose_similarity(spark, sf_dir):
+    return linked(spark, sf_dir).review_queue().select(
+        "y1_composite_id", "y2_composite_id", "y1_purpose", "y2_purpose", "purpose_similarity"
+    )
 
 
 @query
