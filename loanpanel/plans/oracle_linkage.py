@@ -8,10 +8,12 @@ from .oracle import CLOSE, LINK_ROWS, ORACLE, ORDER_PAIRS, SAME_GROUP
 _STORE = "pairs AS" + ORDER_PAIRS.split(", pairs AS", 1)[1].split("), queue AS", 1)[0] + ")"
 
 
-def _pass(y: int) -> str:
+def _pass(y: int, dry: bool = False) -> str:
     """CTEs of the loans of year ``y`` among the reports of the next one; reads
-    state_y, defines fold_y and the next state."""
+    state_y, defines fold_y and the next state, which a dry run leaves as it is
+    filed."""
     z = y + 1
+    kept = " AND false" if dry else ""
     return f"""
 loans_{y} AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY muni_id, lender_ico ORDER BY pos) AS rn FROM (
@@ -85,17 +87,21 @@ loans_{y} AS MATERIALIZED (
            coalesce(l.dates, c.dates) AS dates),
          CASE WHEN r.days > 0 THEN 'Extended' WHEN r.days < 0 THEN 'Shortened' ELSE '' END AS mark,
          l.id IS NOT NULL AS claimed
-  FROM link_rows c LEFT JOIN (SELECT * FROM result_{y} WHERE c_pos IS NOT NULL) r ON r.c_pos = c.pos
+  FROM link_rows c LEFT JOIN (SELECT * FROM result_{y} WHERE c_pos IS NOT NULL{kept}) r ON r.c_pos = c.pos
   LEFT JOIN state_{y} l ON l.pos = r.pos WHERE c.year = {z}
 )"""
 
 
-LINKED = f"""{LINK_ROWS}, {_STORE}, state_2021 AS MATERIALIZED (
+def _passes(dry: bool = False) -> str:
+    return f"""{LINK_ROWS}, {_STORE}, state_2021 AS MATERIALIZED (
   SELECT *, '' AS mark, false AS claimed FROM link_rows WHERE year = 2021
-), {_pass(2021)}, {_pass(2022)}, {_pass(2023)}, results AS MATERIALIZED (
+), {_pass(2021, dry)}, {_pass(2022, dry)}, {_pass(2023, dry)}, results AS MATERIALIZED (
   SELECT 2021 AS year, * FROM result_2021 UNION ALL SELECT 2022, * FROM result_2022
   UNION ALL SELECT 2023, * FROM result_2023
-), states AS MATERIALIZED (
+)"""
+
+
+LINKED = f"""{_passes()}, states AS MATERIALIZED (
   SELECT s.*, r.outcome, r.c_pos, r.days FROM (
     SELECT * FROM state_2021 UNION ALL SELECT * FROM state_2022
     UNION ALL SELECT * FROM state_2023 UNION ALL SELECT * FROM state_2024
@@ -167,12 +173,24 @@ ORACLE["linked_panel"] = over_linked("SELECT year, pos, composite_id, id, dedup_
 ORACLE["early_payoffs"] = over_linked(
     "SELECT year, pos, composite_id, pair_id AS id, 'Repaid Early' AS yoy_change FROM final WHERE early"
 )
-ORACLE["link_stats"] = over_linked("""
+STATS = """
 SELECT year, year + 1 AS next_year, 'missing_loans' AS kind, count(*) AS n FROM results GROUP BY year
 UNION ALL SELECT year, year + 1, 'outcome_' || outcome, count(*) FROM results GROUP BY year, outcome
 UNION ALL SELECT year, year + 1, 'no_candidates', count(*) FROM results WHERE alone AND c_pos IS NULL GROUP BY year
 UNION ALL SELECT year, year + 1, 'pairs_to_review', CAST(sum(len(asked)) AS BIGINT) FROM results GROUP BY year HAVING sum(len(asked)) > 0
-UNION ALL SELECT year, year + 1, 'pairs_decided', CAST(sum(answered) AS BIGINT) FROM results GROUP BY year HAVING sum(answered) > 0""")
+UNION ALL SELECT year, year + 1, 'pairs_decided', CAST(sum(answered) AS BIGINT) FROM results GROUP BY year HAVING sum(answered) > 0"""
+ORACLE["link_stats"] = over_linked(STATS)
+ORACLE["link_dry_run"] = f"WITH RECURSIVE {_passes(dry=True)}\n{STATS}"
+ORACLE["review_reason_counts"] = f"""WITH RECURSIVE {_passes(dry=True)}
+SELECT CASE WHEN starts_with(signal, 'Collision') THEN 'Collision (multiple loans share start date)'
+            WHEN starts_with(signal, 'Small') THEN 'Small duration change (<30 days, possible typo)'
+            WHEN starts_with(signal, 'Odd') THEN 'Odd bounce pattern (Extended<->Shortened) + fuzzy match'
+            ELSE 'Fuzzy typo match, different start dates' END AS kind, count(*) AS n
+FROM (SELECT year, pos, unnest(asked) AS c_pos FROM results) q JOIN (
+  SELECT 2021 AS year, pos, c_pos, signal FROM signals_2021 UNION ALL SELECT 2022, pos, c_pos, signal FROM signals_2022
+  UNION ALL SELECT 2023, pos, c_pos, signal FROM signals_2023
+) g ON g.year = q.year AND g.pos = q.pos AND g.c_pos = q.c_pos
+GROUP BY 1"""
 ORACLE["review_queue"] = over_linked(f"""
 , asked AS (
   SELECT r.year, r.pos, r.year + 1 AS year_y2, unnest(r.asked) AS c_pos, 0 AS skipped_years,
@@ -189,7 +207,7 @@ SELECT l.muni_id || '_' || l.lender_ico || '_' || coalesce(strftime(st.start_dat
        q.year AS year_y1, q.year_y2, q.skipped_years, l.composite_id AS y1_composite_id,
        c.composite_id AS y2_composite_id, l.muni_id, l.lender_name, l.lender_ico, q.y1_id_dates,
        c.dates AS y2_id_dates, l.agreed_amount AS y1_agreed, c.agreed_amount AS y2_agreed,
-       round(abs(l.amount - c.amount) / greatest(abs(l.amount), abs(c.amount), 1e-9) * 100, 3) AS amount_diff_pct,
+       round_even(abs(l.amount - c.amount) / greatest(abs(l.amount), abs(c.amount), 1e-9) * 100, 3) AS amount_diff_pct,
        l.drawn_amount AS y1_drawn, c.drawn_amount AS y2_drawn, l.purpose AS y1_purpose, c.purpose AS y2_purpose,
        q.prev_yoy,
        CASE WHEN q.skipped_years > 0 THEN 'Reporting-gap candidate (' || q.skipped_years || ' year(s) skipped).'
