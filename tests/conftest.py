@@ -13,7 +13,7 @@ def session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("loanpanel-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
