@@ -13,8 +13,9 @@ ROWS_PER_KEY = 5_000_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``rows`` rows; looks at no more."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether a stored table has at most ``rows`` rows. Counting moves none
+    of them."""
+    return df.count() <= rows
 
 
 def lookup(
@@ -25,7 +26,8 @@ def lookup(
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
-    """Left join ``facts`` to ``table``, which has one row per key.
+    """Left join ``facts`` to ``table``, which is stored and has one row per
+    key.
 
     A table of checked size is broadcast. Beyond that the join shuffles, and
     ``weight`` (the number of facts per key) tells the keys too heavy for one
