@@ -136,13 +136,13 @@ def turned_round(mark: Column, days: Column) -> Column:
 
 
 def same_start_counts(rows: DataFrame) -> DataFrame:
-    """Number of loans of a municipality and lender with the same start. With
-    ``n`` = 1 the other columns are those of the one loan. All columns are
+    """Number of a year's loans of a municipality and lender with the same
+    start. With ``n`` = 1 the other columns are those of the one loan. All columns are
     numbers or dates, so counting combines on the map side."""
     return (
         rows.filter(F.col("start_date").isNotNull())
         .na.drop("any", subset=GROUP)
-        .groupBy(*GROUP, "start_date")
+        .groupBy("year", *GROUP, "start_date")
         .agg(
             F.count("*").alias("n"),
             F.max("pos").alias("pos"),

@@ -253,8 +253,8 @@ ORACLE["missing_next_year"] = f"""WITH {LINK_ROWS} SELECT year, pos, id FROM lin
 WHERE expected AND NOT EXISTS (FROM link_rows c WHERE c.year = l.year + 1 AND c.id = l.id)"""
 ORACLE["link_candidates"] = f"""WITH {LINK_ROWS} SELECT l.year, l.pos, count(c.pos) AS n_candidates
 FROM link_rows l LEFT JOIN link_rows c ON c.year = l.year + 1 AND {SAME_GROUP} WHERE l.expected GROUP BY ALL"""
-ORACLE["collision_count"] = f"""WITH {LINK_ROWS} SELECT muni_id, lender_ico, start_date, count(*) AS n FROM link_rows
-WHERE year = 2022 AND muni_id IS NOT NULL AND lender_ico IS NOT NULL AND start_date IS NOT NULL GROUP BY ALL"""
+ORACLE["collision_count"] = f"""WITH {LINK_ROWS} SELECT year, muni_id, lender_ico, start_date, count(*) AS n FROM link_rows
+WHERE muni_id IS NOT NULL AND lender_ico IS NOT NULL AND start_date IS NOT NULL GROUP BY ALL"""
 ORACLE["amount_matches"] = f"""WITH {LINK_ROWS}
 SELECT l.year, l.muni_id, l.lender_ico, l.amount AS l_amount, c.amount AS c_amount,
        count(DISTINCT l.pos) AS n_l, count(DISTINCT c.pos) AS n_c
@@ -272,11 +272,11 @@ ORACLE["link_signals"] = f"""WITH {LINK_ROWS}, starts AS (
          bool_or(expected) AS missing
   FROM link_rows WHERE muni_id IS NOT NULL AND lender_ico IS NOT NULL AND start_date IS NOT NULL GROUP BY ALL
 ), pairs AS (
-  SELECT l.muni_id, l.lender_ico, l.start_date, l.n AS n_l, c.n AS n_c, l.missing, l.pos AS lp, c.pos AS cp,
+  SELECT l.year, l.muni_id, l.lender_ico, l.start_date, l.n AS n_l, c.n AS n_c, l.missing, l.pos AS lp, c.pos AS cp,
          l.n = 1 AND c.n = 1 AND l.missing AS alone, date_diff('day', l.mat_date, c.mat_date) AS days
-  FROM starts l JOIN starts c ON l.year = 2021 AND c.year = 2022 AND {SAME_GROUP} AND c.start_date = l.start_date
+  FROM starts l JOIN starts c ON c.year = l.year + 1 AND {SAME_GROUP} AND c.start_date = l.start_date
 )
-SELECT muni_id, lender_ico, start_date, n_l, n_c, missing,
+SELECT year, muni_id, lender_ico, start_date, n_l, n_c, missing,
        CASE WHEN alone THEN lp END AS l_pos, CASE WHEN alone THEN cp END AS c_pos,
        CASE WHEN NOT alone OR days = 0 THEN NULL
             WHEN abs(days) < 30 THEN 'Small duration change (' || days || ' days). Possible typo.'

@@ -316,9 +316,8 @@ def link_candidates(spark, sf_dir):
 
 @query
 def collision_count(spark, sf_dir):
-    rows = sample_link_rows(spark, sf_dir)
-    return link_rules.same_start_counts(rows.filter(F.col("year") == 2022)).select(
-        "muni_id", "lender_ico", "start_date", "n"
+    return link_rules.same_start_counts(sample_link_rows(spark, sf_dir)).select(
+        "year", "muni_id", "lender_ico", "start_date", "n"
     )
 
 
@@ -338,7 +337,11 @@ def unique_amount_link(spark, sf_dir):
 @query
 def link_signals(spark, sf_dir):
     rows = materialise(sample_link_rows(spark, sf_dir), "link-rows", partition_by=["year"])
-    return link_rules.shared_starts(rows.filter(F.col("year") == 2021), rows.filter(F.col("year") == 2022))
+    of = {year: rows.filter(F.col("year") == year) for year in YEARS}
+    return reduce(
+        DataFrame.unionByName,
+        (link_rules.shared_starts(of[y], of[z]).withColumn("year", F.lit(y)) for y, z in zip(YEARS, YEARS[1:])),
+    )
 
 
 @query
@@ -365,7 +368,8 @@ def same_order_pairs(spark, sf_dir) -> DataFrame:
 
 
 def sample_decisions(spark, sf_dir) -> DataFrame:
-    """A decision store: earlier answers first, some of them revised."""
+    """A decision store: earlier answers first, some of them revised. The
+    pairs of every fourth order were never decided on."""
     return same_order_pairs(spark, sf_dir).selectExpr(
         "y1_composite_id", "y2_composite_id",
         "inline(array(named_struct('decision', IF((k + y2) % 5 < 2, 'N', 'Y'), 'seq', k * 20 + y2 - y1),"
