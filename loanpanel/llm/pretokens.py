@@ -77,18 +77,27 @@ class Units:
     def __getitem__(self, k: int) -> str:
         return self.text[self.starts[k] : self.ends[k]]
 
+    def _hashes(self, values: np.ndarray, ends: np.ndarray, ordered: bool) -> np.ndarray:
+        n = len(self.points)
+        sums = np.zeros(n + 1, np.uint64)
+        if not ordered:
+            np.cumsum(values[self.points], out=sums[1:])
+            return sums[ends] - sums[self.starts]
+        up, down = _powers(1 << max(int(n).bit_length(), 21))
+        np.cumsum(values[self.points] * up[:n], out=sums[1:])
+        return (sums[ends] - sums[self.starts]) * down[self.starts]
+
+    def keys(self, letters: int | None = None) -> np.ndarray:
+        """A hash of every unit, or of its first `letters` characters."""
+        ends = self.ends if letters is None else np.minimum(self.ends, self.starts + letters)
+        return mix(self._hashes(_char_values()[0], ends, True) + np.uint64(letters or 0))
+
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Key and one position of every distinct unit, and for each unit its
         place among them. Two independent hashes tell units apart; a clash of
         the first that the second shows is settled by the strings."""
         value, other = _char_values()
-        n = len(self.points)
-        up, down = _powers(1 << max(int(n).bit_length(), 21))
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(value[self.points] * up[:n], out=sums[1:])
-        key = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        np.cumsum(other[self.points], out=sums[1:])
-        check = sums[self.ends] - sums[self.starts]
+        key, check = self._hashes(value, self.ends, True), self._hashes(other, self.ends, False)
         keys, at, place = np.unique(key, return_index=True, return_inverse=True)
         if (check != check[at[place]]).any():
             seen: dict[str, int] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loanpanel.llm import bpe
+from loanpanel.llm import bpe, exact_dedup, language_id, token_arrow, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +26,46 @@ def op3_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json"))
     encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
     return bpe.digests(bpe.decode(encoded, vocabulary))
+
+
+@_query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out("doc_id", 5, 0)
+    model = language_id.train(docs.filter(~held))
+    return language_id.identify(docs, model).withColumn("held_out", held)
+
+
+@_query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from two thirds of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = language_id.held_out("doc_id", 3, 1)
+    model = toxicity.train(docs, labels.filter(~held))
+    return toxicity.score(docs, model).withColumn("held_out", held)
+
+
+@_query
+def op6_token_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, count and checksum of every document's ids, read from the files."""
+    vocabulary = token_arrow.WordVocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))
+    manifest = token_arrow.write(table(spark, sf_dir, "documents"), vocabulary, token_arrow.folder(spark))
+    return token_arrow.digests(token_arrow.read(manifest))
+
+
+@_query
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document, up to white space."""
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_exact_dedup"] = r"""
+WITH t AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents
+), g AS (
+    SELECT sha256(x) AS text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1
+)
+SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, g.text_sha256
+FROM t JOIN g ON sha256(t.x) = g.text_sha256
+"""
