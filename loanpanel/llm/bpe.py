@@ -36,8 +36,11 @@ from tokenizers import Tokenizer
 
 from loanpanel.llm import pretokens
 
-BLOCK_CHARS = 8_000_000
-_WORDS = "block long, place int, word string"
+BLOCK_CHARS = 4_000_000
+#: Words whose ids a Python worker remembers; ids of forgotten ones are found anew.
+REMEMBERED = 500_000
+_WORDS = "block long, bucket int, gaps binary, words binary"
+_IDS = "block long, bucket int, gaps binary, many binary, ids binary"
 _PLACES = "block long, row int, key binary, places binary"
 _cache: dict[str, object] = {}
 
@@ -86,172 +89,216 @@ class Vocabulary:
         return self._once("pieces", make)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], specials: tuple[str, ...], emit):
-    """Number the words of each block; emit(block, words, keys, places of every document)."""
-    part = pyspark.TaskContext.get().partitionId()
-    number, size = 0, 0
-    known: dict[int, int] = {}
-    words: list[str] = []
-    keys: list = []
-    rows: list[np.ndarray] = []
+def _pack(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte by byte, the low bytes first, compressed."""
+    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+
+
+class _Block:
+    """The words of a run of documents, numbered as they come."""
+
+    def __init__(self, number: int):
+        self.number, self.size = number, 0
+        self.known: dict[int, int] = {}
+        self.words: list[str] = []
+        self.keys: list = []
+        self.rows: list[np.ndarray] = []
+
+    def add(self, ids: list, units: pretokens.Units) -> None:
+        self.size += len(units.text)
+        key, at, place = units.distinct()
+        numbers = np.empty(len(key), np.int32)
+        for i, (k, position) in enumerate(zip(key.tolist(), at.tolist())):
+            found = self.known.get(k)
+            if found is None:
+                found = self.known[k] = len(self.words)
+                self.words.append(units[position])
+            numbers[i] = found
+        places = numbers[place] if len(place) else np.zeros(0, np.int32)
+        self.rows += [places[a:b] for a, b in zip(units.first[:-1], units.first[1:])]
+        self.keys += ids
+
+    def ranks(self) -> np.ndarray:
+        """New numbers of the words, the most frequent first."""
+        every = np.concatenate(self.rows) if self.rows else np.zeros(0, np.int32)
+        order = np.argsort(-np.bincount(every, minlength=len(self.words)), kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        return rank
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], specials: tuple[str, ...]) -> Iterator[_Block]:
+    block = _Block(pyspark.TaskContext.get().partitionId() << 32)
     for batch in batches:
         ids = batch.column(0)
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for run in pretokens.steps([len(t) for t in texts]):
-            units = pretokens.split(texts[run], specials)
-            if size and size + len(units.text) > BLOCK_CHARS:
-                yield emit(part << 32 | number, words, keys, rows)
-                number, size, known, words, keys, rows = number + 1, 0, {}, [], [], []
-            size += len(units.text)
-            key, at, place = units.distinct()
-            numbers = np.empty(len(key), np.int32)
-            for i, (k, position) in enumerate(zip(key.tolist(), at.tolist())):
-                found = known.get(k)
-                if found is None:
-                    found = known[k] = len(words)
-                    words.append(units[position])
-                numbers[i] = found
-            places = numbers[place] if len(place) else np.zeros(0, np.int32)
-            rows += [places[a:b] for a, b in zip(units.first[:-1], units.first[1:])]
-            keys += ids[run.start : run.stop].to_pylist()
-    if rows:
-        yield emit(part << 32 | number, words, keys, rows)
-
-
-def _words(docs: DataFrame, specials: tuple[str, ...]) -> DataFrame:
+            if block.size and block.size + sum(len(t) for t in texts[run]) > BLOCK_CHARS:
+                yield block
+                block = _Block(block.number + 1)
+            block.add(ids[run.start : run.stop].to_pylist(), pretokens.split(texts[run], specials))
+    if block.rows:
+        yield block
+
+
+def _words(docs: DataFrame, specials: tuple[str, ...], buckets: int) -> DataFrame:
+    """The words of every block, dealt to buckets by hash: the words of a
+    bucket joined by a byte that UTF-8 does not use, with the gaps of their
+    places. Blocks without words have an empty bucket."""
+
     def run(batches):
-        def emit(block, words, keys, rows):
-            n = len(words)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block), pa.int64()), pa.array(np.arange(n), pa.int32()), pa.array(words, pa.string())],
-                ["block", "place", "word"],
+        for block in _blocks(batches, specials):
+            rank = block.ranks()
+            order = np.argsort(rank)
+            key = np.fromiter(block.known, np.uint64, len(block.known))[order]  # in the order of first sight
+            bucket = (pretokens.mix(key) % np.uint64(buckets)).astype(np.int64)
+            by_bucket = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
+            groups = [g for g in np.split(by_bucket, cuts)]
+            words = [[block.words[order[i]].encode() for i in g.tolist()] for g in groups]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(groups), block.number), pa.int64()),
+                    pa.array([int(bucket[g[0]]) if len(g) else 0 for g in groups], pa.int32()),
+                    pa.array([_pack(np.diff(g, prepend=0)) for g in groups], pa.binary()),
+                    pa.array([zstandard.compress(b"\xff".join(w), 3) for w in words], pa.binary()),
+                ],
+                ["block", "bucket", "gaps", "words"],
             )
 
-        return _blocks(batches, specials, emit)
-
     return docs.mapInArrow(run, _WORDS)
 
 
 def _places(docs: DataFrame, specials: tuple[str, ...]) -> DataFrame:
-    def run(batches):
-        pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+    """The documents of every block as the numbers of their words."""
 
-        def emit(block, words, keys, rows):
-            n = len(rows)
-            packed = [pack(r.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()) for r in rows]
-            return pa.RecordBatch.from_arrays(
+    def run(batches):
+        for block in _blocks(batches, specials):
+            n, rank = len(block.rows), block.ranks()
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n, block), pa.int64()),
+                    pa.array(np.full(n, block.number), pa.int64()),
                     pa.array(np.arange(n), pa.int32()),
-                    pa.array([json.dumps(k).encode() for k in keys], pa.binary()),
-                    pa.array(packed, pa.binary()),
+                    pa.array([json.dumps(k).encode() for k in block.keys], pa.binary()),
+                    pa.array([_pack(rank[r]) for r in block.rows], pa.binary()),
                 ],
                 ["block", "row", "key", "places"],
             )
 
-        return _blocks(batches, specials, emit)
-
     return docs.mapInArrow(run, _PLACES)
 
 
-def _encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Ids of every word of every block. Equal words come one after another,
-    so each is encoded once, with no table of all words in memory."""
+def _encode_words(words: DataFrame, vocabulary: Vocabulary, buckets: int) -> DataFrame:
+    """Ids of the words of every block and bucket. Equal words share a bucket,
+    so one task encodes a word once for all blocks."""
 
     def run(batches):
-        tokenizer, last, last_ids = vocabulary.tokenizer(), None, b""
+        tokenizer, known = vocabulary.tokenizer(), {}
         for batch in batches:
-            column = batch.column("word").to_pylist()
-            fresh = list(dict.fromkeys(w for w in column if w != last))
-            found = {last: last_ids}
-            for word, code in zip(fresh, tokenizer.encode_batch(fresh, add_special_tokens=False)):
-                found[word] = np.array(code.ids, "<u4").tobytes()
-            if column:
-                last, last_ids = column[-1], found[column[-1]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("place"), pa.array([found[w] for w in column], pa.binary())],
-                ["block", "place", "ids"],
-            )
-
-    ordered = words.repartition("word").sortWithinPartitions("word")
-    return ordered.mapInArrow(run, "block long, place int, ids binary")
-
-
-def _flat(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of a binary column in one array, with starts and lengths."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if not len(column):
+            many, ids = [], []
+            for packed in batch.column("words").to_pylist():
+                words = zstandard.decompress(packed).split(b"\xff")
+                if len(known) > REMEMBERED:
+                    known.clear()
+                fresh = [w for w in words if w not in known]
+                codes = tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)
+                known.update(zip(fresh, (c.ids for c in codes)))
+                found = [known[w] for w in words]
+                many.append(_pack(np.array([len(x) for x in found], np.uint32)))
+                ids.append(_pack(np.array([i for x in found for i in x], np.uint32)))
+            kept = [batch.column(c) for c in ("block", "bucket", "gaps")]
+            names = ["block", "bucket", "gaps", "many", "ids"]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(many, pa.binary()), pa.array(ids, pa.binary())], names)
+
+    return words.repartition(buckets, "bucket").mapInArrow(run, _IDS)
+
+
+def _word_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a block's words in one array; start and length by place."""
+    flat, places, lengths = [], [], []
+    for gaps, many, ids in zip(*(table.column(c).to_pylist() for c in ("gaps", "many", "ids"))):
+        places.append(np.cumsum(_unpack(gaps), dtype=np.int64))
+        lengths.append(_unpack(many).astype(np.int64))
+        flat.append(_unpack(ids))
+    if not flat:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    data = column.buffers()[2]
-    flat = np.frombuffer(data, "<u4", count=len(data) // 4) if data is not None and len(data) else np.zeros(0, np.uint32)
-    return flat, offsets[:-1] // 4, np.diff(offsets) // 4
+    # a block without words has one empty word and no place for it
+    many = np.concatenate(lengths)
+    place = np.concatenate(places)[: len(many)]
+    many = many[: len(place)]
+    start, length = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+    start[place], length[place] = np.cumsum(many) - many, many
+    return np.concatenate(flat), start, length
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (doc_id, ids) for each document."""
     kind = docs.schema[id_col].dataType
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    words = _encode_words(_words(docs, vocabulary.specials), vocabulary)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = _encode_words(_words(docs, vocabulary.specials, buckets), vocabulary, buckets)
+    key_kind = {"string": pa.string(), "int": pa.int32()}.get(kind.simpleString(), pa.int64())
 
     def lay_out(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = left.column("place").to_numpy()
-        flat, starts, lengths = _flat(left.column("ids"))
-        start, length = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-        start[place], length[place] = starts, lengths
+        flat, start, length = _word_ids(left)
         ids, sizes = [], []
-        unpack = zstandard.ZstdDecompressor().decompress
         for packed in right.column("places").to_pylist():
-            raw = np.frombuffer(unpack(packed), np.uint8)
-            places = np.ascontiguousarray(raw.reshape(4, -1).T).view("<i4").ravel()
+            places = _unpack(packed)
             many = length[places]
             total = int(many.sum())
             before = np.cumsum(many) - many
-            ids.append(flat[np.repeat(start[places] - before, many) + np.arange(total)])
+            ids.append(flat[np.repeat(start[places] - before, many) + np.arange(total)].astype(np.int32))
             sizes.append(total)
         keys = [json.loads(k) for k in right.column("key").to_pylist()]
         offsets = np.zeros(len(sizes) + 1, np.int32)
         np.cumsum(sizes, out=offsets[1:])
-        values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+        values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-        return pa.Table.from_arrays([pa.array(keys, right_kind), listed], ["doc_id", "ids"])
+        return pa.Table.from_arrays([pa.array(keys, key_kind), listed], ["doc_id", "ids"])
 
-    right_kind = {"string": pa.string(), "int": pa.int32()}.get(kind.simpleString(), pa.int64())
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     rows = _places(docs, vocabulary.specials)
     return words.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(lay_out, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Adds the text of `ids` as `decoded`: ids meet their pieces in a table
-    of the vocabulary's size that every task holds."""
+    """Adds the text of `ids` as `decoded`, and the digest of the ids: ids meet
+    their pieces in a table of the vocabulary's size that every task holds."""
+    schema = T.StructType(
+        [*encoded.schema.fields, T.StructField("ids_sha256", T.StringType()), T.StructField("decoded", T.StringType())]
+    )
 
     def run(batches):
         pieces = vocabulary.pieces()
         for batch in batches:
-            column, texts = batch.column(batch.schema.get_field_index("ids")), []
+            column, texts, shas = batch.column(batch.schema.get_field_index("ids")), [], []
             values = column.values.to_numpy(zero_copy_only=False)
             offsets = column.offsets.to_numpy()
             for i, valid in enumerate(column.is_valid().to_pylist()):
                 ids = values[offsets[i] : offsets[i + 1]]
+                shas.append(ids_digest(ids) if valid else None)
                 if len(ids) and (ids.min() < 0 or ids.max() >= len(pieces)):
                     ids = ids[(ids >= 0) & (ids < len(pieces))]
                 texts.append(b"".join([pieces[k] for k in ids.tolist()]).decode("utf-8", "replace") if valid else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(shas, pa.string()), pa.array(texts, pa.string())], schema.names
+            )
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
+    return encoded.mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Count and digests of ids and decoded text."""
+def ids_digest(ids: np.ndarray) -> str:
+    """sha256 of ids as little-endian unsigned 32-bit integers."""
+    return hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest()
 
-    @F.pandas_udf("string")
-    def ids_digest(ids):
-        return ids.map(lambda x: hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest())
 
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest("ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+def digests(decoded: DataFrame) -> DataFrame:
+    """Count and digests of ids and decoded text."""
+    size, sha = F.size("ids").cast("long"), F.sha2("decoded", 256)
+    return decoded.select("doc_id", size.alias("n_tokens"), "ids_sha256", sha.alias("decoded_sha256"))

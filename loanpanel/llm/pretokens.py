@@ -21,7 +21,7 @@ LETTER, NUMBER, SPACE, OTHER = range(4)
 #: Endings that a lone apostrophe pulls from the letters after it.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Characters that are split in one go; bounds the memory of a step.
-STEP_CHARS = 1_500_000
+STEP_CHARS = 400_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -83,7 +83,7 @@ class Units:
         if not ordered:
             np.cumsum(values[self.points], out=sums[1:])
             return sums[ends] - sums[self.starts]
-        up, down = _powers(1 << max(int(n).bit_length(), 21))
+        up, down = _powers(1 << max(int(n).bit_length(), 19))
         np.cumsum(values[self.points] * up[:n], out=sums[1:])
         return (sums[ends] - sums[self.starts]) * down[self.starts]
 
