@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loanpanel.llm import bpe, exact_dedup, language_id, token_arrow, toxicity
+from loanpanel.llm import bpe, exact_dedup, language_id, superminhash, token_arrow, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicates among all documents."""
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of both."""
