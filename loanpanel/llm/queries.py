@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanpanel.llm import bpe, exact_dedup, language_id, superminhash, token_arrow, toxicity
+from loanpanel.llm import bpe, exact_dedup, language_id, line_dedup, superminhash, token_arrow, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -75,3 +76,10 @@ WITH t AS (
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, g.text_sha256
 FROM t JOIN g ON sha256(t.x) = g.text_sha256
 """
+
+
+@_query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document before and after fuzzy line deduplication."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), counts=True)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
