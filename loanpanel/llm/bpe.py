@@ -75,10 +75,7 @@ class Vocabulary:
         """The bytes of every id."""
 
         def make():
-            # the printable stand-ins of bytes: themselves where printable, the rest from 256 on
-            printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-            byte_of = {chr(b): b for b in printable}
-            byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
+            byte_of = {c: b for b, c in pretokens.stand_ins().items()}
             vocabulary = self.tokenizer().get_vocab(with_added_tokens=True)
             out = [b""] * (max(vocabulary.values()) + 1)
             for token, i in vocabulary.items():
@@ -199,16 +196,15 @@ def _encode_words(words: DataFrame, vocabulary: Vocabulary, buckets: int) -> Dat
     so one task encodes a word once for all blocks."""
 
     def run(batches):
-        tokenizer, known = vocabulary.tokenizer(), {}
+        model, known = vocabulary.tokenizer().model, {}
         for batch in batches:
             many, ids = [], []
             for packed in batch.column("words").to_pylist():
                 words = zstandard.decompress(packed).split(b"\xff")
-                if len(known) > REMEMBERED:
-                    known.clear()
+                if not known or len(known) > REMEMBERED:
+                    known = {s.encode(): [vocabulary.tokenizer().token_to_id(s)] for s in vocabulary.specials}
                 fresh = [w for w in words if w not in known]
-                codes = tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)
-                known.update(zip(fresh, (c.ids for c in codes)))
+                known.update(zip(fresh, pretokens.unit_ids(model, [w.decode() for w in fresh])))
                 found = [known[w] for w in words]
                 many.append(_pack(np.array([len(x) for x in found], np.uint32)))
                 ids.append(_pack(np.array([i for x in found for i in x], np.uint32)))

@@ -173,3 +173,19 @@ def steps(lengths: list[int], most: int = STEP_CHARS) -> list[slice]:
             begin, size = i, 0
         size += length
     return [*out, slice(begin, len(lengths))] if begin < len(lengths) else out
+
+
+@lru_cache(1)
+def stand_ins() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level
+    vocabularies: itself where printable, the rest from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def unit_ids(model, units: list[str]) -> list[list[int]]:
+    """Ids of units by a byte-level model, past the steps that split texts."""
+    table = stand_ins()
+    plain = [u.encode().decode("latin-1").translate(table) for u in units]
+    return [[t.id for t in model.tokenize(p)] for p in plain]

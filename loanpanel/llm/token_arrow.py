@@ -3,7 +3,8 @@
 A shard holds the ids of a range of documents, one after another, cut into
 sequences of SEQUENCE ids. Its file is in Arrow's stream-file format (a stream
 with a footer): record batches of two fixed-size lists, `ids` and `mask`
-(1 where an id stands, 0 in the padding of the last sequence). A memory-mapped
+(true where an id stands, false in the padding of the last sequence); ids take
+two bytes where the vocabulary allows. A memory-mapped
 reader reaches sequence k of a batch by one multiplication, without copying.
 A second file of the shard lists its documents: doc_id, start within the
 shard, number of ids.
@@ -50,6 +51,36 @@ REMEMBERED = 400_000
 _cache: dict = {}
 
 
+class _Known:
+    """Ids of the words that a worker has met, by the hash of the word."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)  # sorted
+        self.start = self.length = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def of(self, keys: np.ndarray, words, model) -> tuple[np.ndarray, np.ndarray]:
+        """Start and length in `ids` of sorted keys. words(places) gives the
+        words of those that are new."""
+        if len(self.keys) > REMEMBERED:
+            self.__init__()
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
+        fresh = np.flatnonzero(new)
+        if len(fresh):
+            ids = pretokens.unit_ids(model, words(fresh))
+            many = np.array([len(x) for x in ids], np.int64)
+            begin = len(self.ids) + np.cumsum(many) - many
+            self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.uint32)])
+            self.keys = np.insert(self.keys, at[fresh], keys[fresh])
+            self.start = np.insert(self.start, at[fresh], begin)
+            self.length = np.insert(self.length, at[fresh], many)
+            at = np.searchsorted(self.keys, keys)
+        return self.start[at], self.length[at]
+
+
 class WordVocabulary:
     """A lower-casing vocabulary with word ends, sent once to every executor."""
 
@@ -58,7 +89,9 @@ class WordVocabulary:
             content = f.read()
         self.name = str(zlib.crc32(content.encode()))
         self.content = spark.sparkContext.broadcast(content)
-        self.specials = tuple(t["content"] for t in json.loads(content)["added_tokens"])
+        parsed = json.loads(content)
+        self.specials = tuple(t["content"] for t in parsed["added_tokens"])
+        self.size = 1 + max([*parsed["model"]["vocab"].values(), *(t["id"] for t in parsed["added_tokens"])])
 
     def _tokenizer(self) -> Tokenizer:
         if self.name not in _cache:
@@ -66,7 +99,7 @@ class WordVocabulary:
             tokenizer = Tokenizer.from_str(self.content.value)
             tokenizer.no_truncation()
             tokenizer.no_padding()
-            _cache[self.name] = (tokenizer, {})
+            _cache[self.name] = (tokenizer, _Known())
         return _cache[self.name][0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -74,26 +107,18 @@ class WordVocabulary:
         vocabulary once; words seen by this worker before are remembered.
         Texts that spell a special token are encoded whole."""
         tokenizer = self._tokenizer()
+        known = _cache[self.name][1]
         out: list[np.ndarray] = []
         for run in pretokens.steps([len(t) for t in texts]):
             plain = [self._plain(t) for t in texts[run]]
             spelled = [i for i, t in enumerate(plain) if "<|" in t and any(s in t for s in self.specials)]
             units = pretokens.split(plain, leading_space=False)
             keys, at, place = units.distinct()
-            known = _cache[self.name][1]
-            if len(known) > REMEMBERED:
-                known.clear()
-            words = [units[k] for k in at.tolist()]
-            fresh = [w for w in words if w not in known]
-            for word, code in zip(fresh, tokenizer.encode_batch(fresh, add_special_tokens=False)):
-                known[word] = code.ids
-            ids = [known[w] for w in words]
-            length = np.array([len(x) for x in ids], np.int64)
-            flat = np.array([i for x in ids for i in x], np.uint32)
-            start = np.cumsum(length) - length
+            start, length = known.of(keys, lambda fresh: [units[k] for k in at[fresh].tolist()], tokenizer.model)
             many = length[place]
             after = np.cumsum(many)
-            laid = flat[np.repeat(start[place] - after + many, many) + np.arange(int(after[-1]) if len(after) else 0)]
+            total = int(after[-1]) if len(after) else 0
+            laid = known.ids[np.repeat(start[place] - after + many, many) + np.arange(total)].astype(np.uint32)
             ends = np.concatenate([[0], after])[units.first]
             laid_out = [laid[a:b] for a, b in zip(ends[:-1], ends[1:])]
             for i in spelled:
@@ -114,8 +139,8 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
 
 
-def _schema(sequence: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
+def _schema(sequence: int, kind: pa.DataType) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -124,8 +149,8 @@ _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens",
 class _Writer:
     """Packs ids into sequences as they come."""
 
-    def __init__(self, sink, sequence: int):
-        self.sequence, self.schema = sequence, _schema(sequence)
+    def __init__(self, sink, sequence: int, kind: pa.DataType):
+        self.sequence, self.schema, self.kind = sequence, _schema(sequence, kind), kind.to_pandas_dtype()
         self.out = ipc.new_file(sink, self.schema)
         self.held: list[np.ndarray] = []
         self.size = 0
@@ -140,9 +165,9 @@ class _Writer:
         every = np.concatenate(self.held) if self.held else np.zeros(0, np.uint32)
         ids, rest = every[:n], every[n:]
         pad = -len(ids) % self.sequence
-        mask = np.ones(len(ids) + pad, np.uint8)
-        mask[len(ids) :] = 0
-        ids = np.concatenate([ids, np.zeros(pad, np.uint32)]).astype(np.uint32)
+        mask = np.ones(len(ids) + pad, bool)
+        mask[len(ids) :] = False
+        ids = np.concatenate([ids, np.zeros(pad, np.uint32)]).astype(self.kind)
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.sequence) for x in (ids, mask)]
         for at in range(0, len(columns[0]), BATCH):
             self.out.write_batch(pa.RecordBatch.from_arrays([c[at : at + BATCH] for c in columns], schema=self.schema))
@@ -168,6 +193,7 @@ def write(
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = uuid.uuid4().hex
+    kind = pa.uint16() if vocabulary.size <= 1 << 16 else pa.uint32()
 
     def run(batches: Iterator[pa.RecordBatch]):
         shard, attempt = pyspark.TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
@@ -181,7 +207,7 @@ def write(
                 system, path = _open(f"{folder}/{name}")
                 system.create_dir(path, recursive=True)
                 sink = system.open_output_stream(f"{path}/{shard:06d}-{attempt}.tokens.arrow")
-                writer = _Writer(sink, sequence)
+                writer = _Writer(sink, sequence, kind)
             ids = vocabulary.encode([t or "" for t in batch.column(1).to_pylist()])
             for doc_id, x in zip(batch.column(0).to_pylist(), ids):
                 x = np.append(x, np.uint32(end_id))
@@ -218,8 +244,8 @@ def _sequences(path: str):
         reader = ipc.open_file(source)
         for i in range(reader.num_record_batches):
             batch = reader.get_batch(i)
-            ids, mask = (batch.column(k).flatten().to_numpy(zero_copy_only=True) for k in (0, 1))
-            yield ids[: int(mask.sum())]  # padding stands at the very end only
+            ids, mask = batch.column(0).flatten(), batch.column(1).flatten()
+            yield ids.to_numpy(zero_copy_only=True)[: mask.true_count]  # padding stands at the very end only
 
 
 def read(manifest: DataFrame) -> DataFrame:
@@ -234,7 +260,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 with system.open_input_file(name) as f:
                     index = ipc.open_file(f).read_all()
                 doc_ids, starts, lengths = (index.column(c).to_pylist() for c in ("doc_id", "start", "n_tokens"))
-                held, base, k = np.zeros(0, np.uint32), 0, 0
+                held, base, k = np.zeros(0, np.uint16), 0, 0
                 for ids in _sequences(row["tokens"]):
                     held = np.concatenate([held, ids])
                     first = k
