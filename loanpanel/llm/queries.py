@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.llm import bpe, exact_dedup, language_id, line_dedup, superminhash, token_arrow, toxicity
+from loanpanel.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    superminhash,
+    token_arrow,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +94,56 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document before and after fuzzy line deduplication."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), counts=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+@_query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences of every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
+
+
+ORACLE["op2_license_scan"] = license_scan.oracle()
+
+RULES = [
+    url_filter.Rule("com", "/", block=False),
+    url_filter.Rule("example.com", "/en/", block=True),
+    url_filter.Rule("www.example.com", "/en/", block=False),
+    url_filter.Rule("net", "/es/", block=True),
+    url_filter.Rule("net", "/fr/", block=True),
+]
+#: Parts of hosts that the list of the query is made of.
+SPAM_HOSTS = "casino|pills|bets|spam|adult|ads-"
+
+
+@_query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every page. The list: hosts of the corpus with spam words."""
+    pages = table(spark, sf_dir, "pages")
+    hosts = pages.select(url_filter.host_and_path(F.col("url"))[0].alias("host"))
+    return url_filter.judge(pages, RULES, hosts.filter(F.col("host").rlike(SPAM_HOSTS)))
+
+
+ORACLE["op7_url_filter"] = rf"""
+WITH r AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r
+), f AS (
+    SELECT *, CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                   WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+                   WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+                   WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+                   WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM p
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN regexp_matches(host, '{SPAM_HOSTS}') THEN 'block' ELSE 'allow' END AS verdict
+FROM f
+"""
+
+
+@_query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that stand in documents."""
+    return decontamination.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

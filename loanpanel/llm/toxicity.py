@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanpanel.llm import pretokens
@@ -150,9 +150,11 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """At most TEXTS_PER_CLASS labelled texts of each label, by the order of a
     hash of the id: toxic, places, and the places of text and swapped copy."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    present = known.join(docs.select("doc_id").distinct(), "doc_id")
-    chosen = present.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= TEXTS_PER_CLASS)
+    present = known.join(docs.select("doc_id").distinct(), "doc_id").withColumn("place", F.xxhash64("doc_id"))
+    parts = [
+        present.filter(F.col("toxic") == kind).orderBy("place", "doc_id").limit(TEXTS_PER_CLASS) for kind in (0, 1)
+    ]
+    chosen = parts[0].union(parts[1])
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def run(batches):
@@ -164,20 +166,20 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(table["toxic"], pa.int32()),
-                    pa.array(table["rank"], pa.int32()),
+                    pa.array(table["place"], pa.int64()),
                     pa.array([p.tobytes() for p in places], pa.binary()),
                     pa.array(pairs, pa.binary()),
                 ],
-                ["toxic", "rank", "places", "copy"],
+                ["toxic", "place", "places", "copy"],
             )
 
-    rows = texts.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("rank").cast("int").alias("rank"))
-    return rows.mapInArrow(run, "toxic int, rank int, places binary, copy binary")
+    rows = texts.select("text", F.col("toxic").cast("int").alias("toxic"), "place")
+    return rows.mapInArrow(run, "toxic int, place long, places binary, copy binary")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the bounded sample of the labelled documents given."""
-    rows = sorted(sample(docs, labels).collect(), key=lambda r: (r.rank, r.toxic, bytes(r.places)))[: 4 * TEXTS_PER_CLASS]
+    rows = sorted(sample(docs, labels).collect(), key=lambda r: (r.place, r.toxic, bytes(r.places)))[: 4 * TEXTS_PER_CLASS]
     places = [np.frombuffer(r.places, np.uint32) for r in rows]
     pairs = [(p, np.frombuffer(r.copy, np.uint32)) for p, r in zip(places, rows) if r.copy is not None]
     return fit(places, np.array([r.toxic for r in rows]), pairs)
