@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanpanel.llm.near_links import only
+from loanpanel.llm.near_links import only, without
 from loanpanel.sources.scratch import cut, materialise
 
 WINDOW = 8
@@ -173,8 +173,4 @@ def sum_of_shorter(lengths: list[int]):
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, columns as they were, that hold no item."""
-    found = findings(docs, items).select(F.col("doc_id").alias("doc_id")).distinct()
-    found = cut(found)
-    few = found.count() <= 1_000_000
-    held = (F.broadcast(found) if few else found).withColumnRenamed("doc_id", "found_doc_id")
-    return docs.join(held, F.col("doc_id").cast("long") == F.col("found_doc_id"), "left_anti")
+    return without(docs, findings(docs, items).select(F.col("doc_id").alias("gone")))

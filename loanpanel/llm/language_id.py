@@ -40,6 +40,8 @@ LANDMARKS_PER_LANGUAGE = 100
 LANGUAGES = 200
 RIDGE = 1e-3
 UNKNOWN = "und"
+#: Score under which `recognised` rejects a text.
+LEAST = 0.3
 
 _TABLE = np.full(256, 32, np.uint8)
 for _b in (*range(97, 123), *range(128, 256)):
@@ -174,6 +176,21 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def recognised(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
+    """The documents, columns as they were, that are in a learned language
+    with a score of at least `least`; the others are rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            names, scores = shared.value.predict(batch.column(at).to_pylist())
+            known = np.array([n != UNKNOWN for n in names], bool)
+            yield batch.filter(pa.array(known & (scores >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id, parts: int, part: int) -> F.Column:
     """Whether a document is never learned from: crc32 of its id as text."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))

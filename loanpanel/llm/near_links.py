@@ -53,6 +53,15 @@ def only(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, column, "left_semi")
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among the ids (column gone), columns
+    as they were; documents without id stay."""
+    ids = cut(ids.select("gone").distinct())
+    few = ids.count() <= BROADCAST_IDS
+    gone = (F.broadcast(ids) if few else ids).withColumnRenamed("gone", "gone doc_id")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone doc_id"), "left_anti")
+
+
 def by_key(left: DataFrame, right: DataFrame, key: str, rows: str) -> DataFrame:
     """Left outer join with a table of one row a key, whose column `rows` says
     how many rows of the left side have it. Keys with over a thousandth of all

@@ -245,3 +245,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The documents, columns as they were, of which one of each group stays:
+    the one with the smallest id."""
+    gone = near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return near_links.without(docs, gone.filter("NOT kept").select(F.col("doc_id").alias("gone")))
