@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +39,13 @@ from loanpanel.llm import pretokens
 
 BLOCK_CHARS = 4_000_000
 #: Words whose ids a Python worker remembers; ids of forgotten ones are found anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+#: Documents decoded at a time.
+DECODED = 500
 _WORDS = "block long, bucket int, gaps binary, words binary"
 _IDS = "block long, bucket int, gaps binary, many binary, ids binary"
 _PLACES = "block long, row int, key binary, places binary"
-_cache: dict[str, object] = {}
+_cache: dict[str, Tokenizer] = {}
 
 
 class Vocabulary:
@@ -53,37 +56,33 @@ class Vocabulary:
             content = f.read()
         self.name = hashlib.sha256(content.encode()).hexdigest()
         self.content = spark.sparkContext.broadcast(content)
+        self.pieces = spark.sparkContext.broadcast(_pieces(content))
         self.specials = tuple(t["content"] for t in json.loads(content)["added_tokens"])
 
-    def _once(self, what: str, make):
-        key = f"{what} {self.name}"
-        if key not in _cache:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            _cache[key] = make()
-        return _cache[key]
-
     def tokenizer(self) -> Tokenizer:
-        def make():
-            tokenizer = Tokenizer.from_str(self.content.value)
-            tokenizer.no_truncation()
-            tokenizer.no_padding()
-            return tokenizer
+        if self.name not in _cache:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            _cache.clear()  # one vocabulary a worker
+            _cache[self.name] = _plain_tokenizer(self.content.value)
+        return _cache[self.name]
 
-        return self._once("tokenizer", make)
 
-    def pieces(self) -> list[bytes]:
-        """The bytes of every id."""
+def _plain_tokenizer(content: str) -> Tokenizer:
+    tokenizer = Tokenizer.from_str(content)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
 
-        def make():
-            byte_of = {c: b for b, c in pretokens.stand_ins().items()}
-            vocabulary = self.tokenizer().get_vocab(with_added_tokens=True)
-            out = [b""] * (max(vocabulary.values()) + 1)
-            for token, i in vocabulary.items():
-                known = all(c in byte_of for c in token)
-                out[i] = bytes(byte_of[c] for c in token) if known else token.encode()
-            return out
 
-        return self._once("pieces", make)
+def _pieces(content: str) -> list[bytes]:
+    """The bytes of every id."""
+    byte_of = {c: b for b, c in pretokens.stand_ins().items()}
+    vocabulary = _plain_tokenizer(content).get_vocab(with_added_tokens=True)
+    out = [b""] * (max(vocabulary.values()) + 1)
+    for token, i in vocabulary.items():
+        known = all(c in byte_of for c in token)
+        out[i] = bytes(byte_of[c] for c in token) if known else token.encode()
+    return out
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -92,6 +91,10 @@ def _pack(values: np.ndarray) -> bytes:
     return zstandard.compress(planes.tobytes(), 3)
 
 
+def _raw(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def _unpack(packed: bytes) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
@@ -134,12 +137,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], specials: tuple[str, ...]) -> Ite
     block = _Block(pyspark.TaskContext.get().partitionId() << 32)
     for batch in batches:
         ids = batch.column(0)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        for run in pretokens.steps([len(t) for t in texts]):
-            if block.size and block.size + sum(len(t) for t in texts[run]) > BLOCK_CHARS:
+        for run, texts in pretokens.text_runs(batch.column(1)):
+            if block.size and block.size + sum(map(len, texts)) > BLOCK_CHARS:
                 yield block
                 block = _Block(block.number + 1)
-            block.add(ids[run.start : run.stop].to_pylist(), pretokens.split(texts[run], specials))
+            block.add(ids[run.start : run.stop].to_pylist(), pretokens.split(texts, specials))
     if block.rows:
         yield block
 
@@ -202,12 +204,12 @@ def _encode_words(words: DataFrame, vocabulary: Vocabulary, buckets: int) -> Dat
             for packed in batch.column("words").to_pylist():
                 words = zstandard.decompress(packed).split(b"\xff")
                 if not known or len(known) > REMEMBERED:
-                    known = {s.encode(): [vocabulary.tokenizer().token_to_id(s)] for s in vocabulary.specials}
+                    known = {s.encode(): _raw([vocabulary.tokenizer().token_to_id(s)]) for s in vocabulary.specials}
                 fresh = [w for w in words if w not in known]
-                known.update(zip(fresh, pretokens.unit_ids(model, [w.decode() for w in fresh])))
+                known.update(zip(fresh, map(_raw, pretokens.unit_ids(model, [w.decode() for w in fresh]))))
                 found = [known[w] for w in words]
-                many.append(_pack(np.array([len(x) for x in found], np.uint32)))
-                ids.append(_pack(np.array([i for x in found for i in x], np.uint32)))
+                many.append(_pack(np.array([len(x) // 4 for x in found], np.uint32)))
+                ids.append(_pack(np.frombuffer(b"".join(found), np.uint32)))
             kept = [batch.column(c) for c in ("block", "bucket", "gaps")]
             names = ["block", "bucket", "gaps", "many", "ids"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(many, pa.binary()), pa.array(ids, pa.binary())], names)
@@ -271,11 +273,11 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
     def run(batches):
-        pieces = vocabulary.pieces()
-        for batch in batches:
+        pieces = vocabulary.pieces.value
+        for batch in (b.slice(at, DECODED) for b in batches for at in range(0, b.num_rows, DECODED)):
             column, texts, shas = batch.column(batch.schema.get_field_index("ids")), [], []
-            values = column.values.to_numpy(zero_copy_only=False)
             offsets = column.offsets.to_numpy()
+            values = column.values.to_numpy(zero_copy_only=False)
             for i, valid in enumerate(column.is_valid().to_pylist()):
                 ids = values[offsets[i] : offsets[i + 1]]
                 shas.append(ids_digest(ids) if valid else None)

@@ -34,8 +34,8 @@ NGRAMS = (2, 3, 4)
 DIMENSIONS = 1 << 17
 #: Labelled texts a language: the bound of the sample that is fitted on.
 TEXTS_PER_LANGUAGE = 400
-#: Of these, landmarks a language.
-LANDMARKS_PER_LANGUAGE = 100
+#: Of these, landmarks: a language's, and of all languages together.
+LANDMARKS_PER_LANGUAGE, LANDMARKS = 100, 800
 #: Languages that are learned, the most frequent first.
 LANGUAGES = 200
 RIDGE = 1e-3
@@ -114,8 +114,9 @@ def fit(texts: list[str], labels: list[str]) -> Model:
         return Model([], np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0))
     taken: dict[str, int] = {}
     landmarks = []
+    most = max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS // len(languages)))
     for found, label in rows:
-        if taken.setdefault(label, 0) < LANDMARKS_PER_LANGUAGE:
+        if taken.setdefault(label, 0) < most:
             taken[label] += 1
             landmarks.append(found)
     basis = np.zeros((DIMENSIONS, len(landmarks)), np.float32)

@@ -10,10 +10,13 @@ the next unit) move single borders.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
@@ -164,6 +167,14 @@ def _contractions(points: np.ndarray, starts: np.ndarray, border: np.ndarray, le
                 break
 
 
+def text_runs(column: pa.Array, most: int = STEP_CHARS) -> Iterator[tuple[slice, list[str]]]:
+    """Runs of a column of texts as Python strings, null as empty. Only one
+    run at a time leaves the batch, so memory follows `most`, not the batch."""
+    lengths = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    for run in steps(lengths, most):
+        yield run, [t or "" for t in column.slice(run.start, run.stop - run.start).to_pylist()]
+
+
 def steps(lengths: list[int], most: int = STEP_CHARS) -> list[slice]:
     """Runs of texts of about `most` characters; a longer text is its own run."""
     out, begin, size = [], 0, 0

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanpanel.llm import near_links
-from loanpanel.llm.pretokens import mix, steps
+from loanpanel.llm.pretokens import mix, steps, text_runs
 from loanpanel.sources.scratch import cut, materialise
 
 BANDS, ROWS = 64, 6
@@ -185,9 +185,9 @@ def _digest(items: bytes) -> str | None:
 def _sign(batches: Iterator[pa.RecordBatch]):
     """Size, digest of the whole set, signature and bands of every document."""
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for run in steps([len(t or "") for t in texts], 2_000_000):
-            every, length = shingle_sets(texts[run])
+        ids = batch.column(0)
+        for run, texts in text_runs(batch.column(1), 1_000_000):
+            every, length = shingle_sets(texts)
             cuts = np.concatenate([[0], np.cumsum(length)])
             signature = signatures(every, length, BANDS * ROWS)
             keys = bands(signature, BANDS, ROWS)
@@ -204,9 +204,9 @@ def _sign(batches: Iterator[pa.RecordBatch]):
 
 def _read_sets(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for run in steps([len(t or "") for t in texts], 2_000_000):
-            every, length = shingle_sets(texts[run])
+        ids = batch.column(0)
+        for run, texts in text_runs(batch.column(1), 1_000_000):
+            every, length = shingle_sets(texts)
             cuts = np.concatenate([[0], np.cumsum(length)])
             sets = [every[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
             columns = [ids[run.start : run.stop], pa.array(map(_digest, sets), pa.string()), pa.array(sets, pa.binary())]

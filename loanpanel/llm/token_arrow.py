@@ -47,7 +47,7 @@ SEQUENCE = 2048
 #: Sequences of a record batch.
 BATCH = 512
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _cache: dict = {}
 
 
@@ -208,12 +208,13 @@ def write(
                 system.create_dir(path, recursive=True)
                 sink = system.open_output_stream(f"{path}/{shard:06d}-{attempt}.tokens.arrow")
                 writer = _Writer(sink, sequence, kind)
-            ids = vocabulary.encode([t or "" for t in batch.column(1).to_pylist()])
-            for doc_id, x in zip(batch.column(0).to_pylist(), ids):
-                x = np.append(x, np.uint32(end_id))
-                writer.add(x)
-                index.append((doc_id, start, len(x)))
-                start += len(x)
+            doc_ids = batch.column(0).to_pylist()
+            for part, texts in pretokens.text_runs(batch.column(1)):
+                for doc_id, x in zip(doc_ids[part], vocabulary.encode(texts)):
+                    x = np.append(x, np.uint32(end_id))
+                    writer.add(x)
+                    index.append((doc_id, start, len(x)))
+                    start += len(x)
         if writer is None:
             return
         writer.close()
