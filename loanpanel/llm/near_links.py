@@ -1,14 +1,18 @@
 """Groups of near-duplicates from candidate buckets, without all pairs.
 
-Members of a bucket are candidates for one another. First each is compared
-with the smallest member of its buckets only. Links found join nodes into
-components; members of a bucket that are in one component need no more
-comparing. Where a bucket still holds several components, the members ranked
-2nd to 4th are compared with those behind them in other components, then the
-5th to 16th, and so on, until no bucket holds two components or all its ranks
-are done. So every two members of a bucket end up in one component or were
-compared: no link is lost, nothing is capped, and a group of thousands of
-copies of each other costs about one comparison a member and bucket.
+Members of a bucket are candidates for one another. Links found join nodes
+into components, and two nodes of one component need no more comparing:
+
+1. Each node is compared with the smallest members (hubs) of its buckets that
+   are in other components than itself: with one of them at first, then with
+   up to 4 more, 16 more, and so on until none is left.
+2. Where a bucket still holds several components, the members ranked 2nd to
+   4th are compared with those behind them in other components, then the 5th to
+   16th, and so on, until no bucket holds two components or its ranks are done.
+
+So every two members of a bucket end up in one component or were compared: no
+link is lost, nothing is capped, and a group of thousands of copies of each
+other costs about one comparison a member.
 
 Comparing has two steps: sketches (SKETCH places of 16 bits) leave out pairs
 whose estimated similarity is more than SLACK below the limit (eight standard
@@ -121,24 +125,43 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut(with_both(alike, "items").mapInArrow(_linked(percent), "a long, b long"))
 
 
+def _labelled(rows: DataFrame, label: DataFrame, node: str, component: str) -> DataFrame:
+    """Adds the component of a node; a node without links is its own."""
+    known = label.select(F.col("node").alias("of"), F.col("component").alias("in"))
+    joined = rows.join(known, F.col(node) == F.col("of"), "left")
+    return joined.withColumn(component, F.coalesce("in", node)).drop("of", "in")
+
+
+def _joined(label: DataFrame, more: DataFrame) -> DataFrame:
+    """Components with new links: those known stand as links to their roots."""
+    known = label.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return cut(components(known.union(more)))
+
+
 def groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, component) of all nodes with a link. sets: node, sketch, items
     (sorted 64-bit hashes) of all members, one row a node."""
-    pairs = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    found = links(pairs, sets, percent)
-    label = components(found)
-    ranked, low, high = None, 2, GROWTH
+    hubs = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    label = members.select("node", F.col("node").alias("component")).limit(0)
+    width = 1
+    while True:
+        apart = _labelled(_labelled(hubs, label, "a", "of_a"), label, "b", "of_b").filter("of_a <> of_b")
+        turn = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+        hubs = cut(apart.select("a", "b", turn.alias("turn")))
+        if hubs.isEmpty():
+            break
+        label = _joined(label, links(hubs.filter(F.col("turn") <= width).select("a", "b"), sets, percent))
+        hubs = hubs.filter(F.col("turn") > width).select("a", "b")
+        width *= GROWTH
+
+    bucket = Window.partitionBy("key")
+    ranked = members.withColumn("rank", F.row_number().over(bucket.orderBy("node")))
+    low, high = 2, GROWTH
     while True:
-        labelled = (members if ranked is None else ranked).drop("component")
-        known = label.withColumnRenamed("node", "of")
-        labelled = labelled.join(known, F.col("node") == F.col("of"), "left").drop("of")
-        labelled = labelled.withColumn("component", F.coalesce("component", "node"))
         # buckets with two components and ranks to come
-        bucket = Window.partitionBy("key")
-        if ranked is None:
-            labelled = labelled.withColumn("rank", F.row_number().over(bucket.orderBy("node")))
-        span = (F.min("component").over(bucket), F.max("component").over(bucket), F.max("rank").over(bucket))
-        open_ = labelled.select("*", *(c.alias(n) for c, n in zip(span, ("least", "most", "last"))))
+        span = [f("component").over(bucket) for f in (F.min, F.max)]
+        open_ = _labelled(ranked.select("key", "node", "rank"), label, "node", "component")
+        open_ = open_.select("*", span[0].alias("least"), span[1].alias("most"), F.max("rank").over(bucket).alias("last"))
         open_ = open_.filter((F.col("least") < F.col("most")) & (F.col("last") > low))
         ranked = cut(open_.select("key", "node", "rank", "component"))
         if ranked.isEmpty():
@@ -148,7 +171,5 @@ def groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         )
         behind = (F.col("rank") > F.col("rank_b")) & (F.col("component") != F.col("component_b"))
         pairs = ranked.join(front, "key").filter(behind).select(F.col("node").alias("a"), "b").distinct()
-        more = links(pairs, sets, percent)
-        found = cut(found.union(more))
-        label = components(found)
+        label = _joined(label, links(pairs, sets, percent))
         low, high = high + 1, high * GROWTH

@@ -2,8 +2,8 @@
 
 A text is the set of its lower-cased words and of their first letters (PREFIXES),
 hashed to PLACES places, so that inflected forms share evidence. The classifier
-is logistic regression over these places, each scaled by its log-ratio between
-the classes. Labelled texts that name a group are copied with the group's terms
+is logistic regression over the places whose frequencies in the two classes
+differ beyond chance, each scaled by its log-ratio between the classes. Labelled texts that name a group are copied with the group's terms
 swapped for others of the same kind, and differences between the scores of text
 and copy are penalised, so that naming a group does not by itself raise a score.
 
@@ -29,12 +29,14 @@ from loanpanel.llm import pretokens
 
 PLACE_BITS = 18
 PLACES = 1 << PLACE_BITS
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6)
 TEXTS_PER_CLASS = 4_000
 THRESHOLD = 0.7
 #: Weights of the penalties on score differences and on large weights.
 COUNTERFACTUAL, RIDGE = 1.0, 2e-3
 STEPS = 120
+#: Squared deviations from chance that a place needs to count.
+SPREAD = 8.0
 
 #: Terms that name groups, by kind; swaps stay within a row.
 IDENTITY_TERMS = (
@@ -92,7 +94,8 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         logits = np.array([self.weights[f].sum(dtype=np.float64) + self.bias for f in features(texts)])
-        return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-logits))
 
 
 class _Rows:
@@ -121,7 +124,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray
     ones, zeros = x.back(labels), x.back(1 - labels)
     ratio = np.log((ones + 0.5) / (n1 + 1)) - np.log((zeros + 0.5) / (n0 + 1))
     ratio[ones + zeros < 3] = 0
-    ratio[np.abs(ratio) < 0.3] = 0
+    # places that the classes do not share evenly, by more than chance spreads them
+    expected = (ones + zeros) * n1 / (n1 + n0)
+    spread = (ones - expected) ** 2 / np.maximum(expected * n0 / (n1 + n0), 1e-9)
+    ratio[(spread < SPREAD) | ((ratio < 0) & (ratio > -0.3))] = 0
     used = np.flatnonzero(ratio)
     kept = np.zeros(PLACES, bool)
     kept[used] = True
