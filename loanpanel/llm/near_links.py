@@ -14,14 +14,14 @@ So every two members of a bucket end up in one component or were compared: no
 link is lost, nothing is capped, and a group of thousands of copies of each
 other costs about one comparison a member.
 
-Comparing has two steps: sketches (SKETCH places of 16 bits) leave out pairs
+Comparing has two steps, or only the second: sketches (SKETCH places of 16 bits) leave out pairs
 whose estimated similarity is more than SLACK below the limit (eight standard
 deviations), whole sets decide the rest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ SKETCH = 128
 SLACK = 0.30
 #: Each round reaches this many times as many ranks.
 GROWTH = 4
+#: Pairs whose sets are in a worker's memory at a time.
+COMPARED = 256
 #: Ids (16 bytes each) that may be sent to every executor.
 BROADCAST_IDS = 1_000_000
 
@@ -97,12 +99,16 @@ def common(x: np.ndarray, y: np.ndarray) -> int:
     return len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
 
 
-def _linked(percent: int):
+def hashes(items: list[bytes]) -> list[np.ndarray]:
+    """Sets that are stored as sorted 64-bit hashes."""
+    return [np.frombuffer(x, np.uint64) for x in items]
+
+
+def _linked(percent: int, read: Callable[[list[bytes]], list[np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
+        for batch in (b.slice(at, COMPARED) for b in batches for at in range(0, b.num_rows, COMPARED)):
             kept = []
-            for x, y in zip(batch.column("items_a").to_pylist(), batch.column("items_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(read(batch.column("items_a").to_pylist()), read(batch.column("items_b").to_pylist())):
                 n, m = sorted((len(x), len(y)))
                 both = common(x, y) if 100 * n >= percent * m else 0
                 kept.append(both > 0 and 100 * both >= percent * (n + m - both))
@@ -112,7 +118,7 @@ def _linked(percent: int):
     return run
 
 
-def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def links(pairs: DataFrame, sets: DataFrame, percent: int, read=hashes) -> DataFrame:
     """The pairs (a, b) of different nodes that reach the limit, stored."""
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
@@ -121,8 +127,9 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             pairs = pairs.join(one, end)
         return pairs.select("a", "b", f"{column}_a", f"{column}_b")
 
-    alike = cut(with_both(pairs, "sketch").mapInArrow(_alike(percent), "a long, b long"))
-    return cut(with_both(alike, "items").mapInArrow(_linked(percent), "a long, b long"))
+    if "sketch" in sets.columns:
+        pairs = cut(with_both(pairs, "sketch").mapInArrow(_alike(percent), "a long, b long"))
+    return cut(with_both(pairs, "items").mapInArrow(_linked(percent, read), "a long, b long"))
 
 
 def _labelled(rows: DataFrame, label: DataFrame, node: str, component: str) -> DataFrame:
@@ -138,9 +145,10 @@ def _joined(label: DataFrame, more: DataFrame) -> DataFrame:
     return cut(components(known.union(more)))
 
 
-def groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of all nodes with a link. sets: node, sketch, items
-    (sorted 64-bit hashes) of all members, one row a node."""
+def groups(members: DataFrame, sets: DataFrame, percent: int, read=hashes) -> DataFrame:
+    """(node, component) of all nodes with a link. sets: node and items of all
+    members, one row a node, and sketch if pairs are to be estimated first;
+    read turns a list of items into sorted sets of 64-bit hashes."""
     hubs = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     label = members.select("node", F.col("node").alias("component")).limit(0)
     width = 1
@@ -150,7 +158,7 @@ def groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         hubs = cut(apart.select("a", "b", turn.alias("turn")))
         if hubs.isEmpty():
             break
-        label = _joined(label, links(hubs.filter(F.col("turn") <= width).select("a", "b"), sets, percent))
+        label = _joined(label, links(hubs.filter(F.col("turn") <= width).select("a", "b"), sets, percent, read))
         hubs = hubs.filter(F.col("turn") > width).select("a", "b")
         width *= GROWTH
 
@@ -171,5 +179,5 @@ def groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         )
         behind = (F.col("rank") > F.col("rank_b")) & (F.col("component") != F.col("component_b"))
         pairs = ranked.join(front, "key").filter(behind).select(F.col("node").alias("a"), "b").distinct()
-        label = _joined(label, links(pairs, sets, percent))
+        label = _joined(label, links(pairs, sets, percent, read))
         low, high = high + 1, high * GROWTH
