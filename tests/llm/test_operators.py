@@ -17,7 +17,6 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 from loanpanel.llm import (
     bpe,
-    components,
     decontamination,
     exact_dedup,
     language_id,
@@ -30,6 +29,7 @@ from loanpanel.llm import (
     toxicity,
     url_filter,
 )
+from loanpanel.operators.components import components
 from loanpanel.sources.scratch import materialise
 from oracle_check import compare, connect
 
@@ -146,7 +146,7 @@ def test_near_duplicates_of_awkward_rows(awkward):
 
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 60)] + [(60, 59), (3, 3)]
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(7, 61)}}
 
 
