@@ -41,14 +41,17 @@ def codelist_by_code(codelist: DataFrame) -> DataFrame:
 
 def registry_lookup(ids: DataFrame, registry: DataFrame, id_col: str = "lender_ico") -> DataFrame:
     """Registry name and form code for each ID; the name of an ID that is not
-    in the registry is the status of its lookup. ``registry`` holds one row
-    per ``ico``."""
+    in the registry is the status of its lookup. An ID that the registry
+    repeats has its first entry by name and form. An optional column
+    ``status`` holds the fault of a lookup that failed (``HTTP Error n``,
+    ``Connection Error``), NULL where it did not."""
     key = registry_key(F.col(id_col))
     valid = (F.length("_key") == 8) & (F.col("_key") != "00000000")
     found = F.col("_ico").isNotNull()
-    entries = registry.select(
-        F.col("ico").alias("_ico"), F.col("name").alias("_name"), F.col("form_code").alias("_form")
-    )
+    fault = F.col("status") if "status" in registry.columns else F.lit(None).cast("string")
+    entry = F.struct(F.coalesce(fault, "name").alias("name"), F.when(fault.isNull(), F.col("form_code")).alias("form"))
+    entries = registry.groupBy(F.col("ico").alias("_ico")).agg(F.min(entry).alias("_entry"))
+    entries = entries.select("_ico", F.col("_entry.name").alias("_name"), F.col("_entry.form").alias("_form"))
     return (
         ids.withColumn("_key", key)
         .join(entries, valid & (F.col("_key") == F.col("_ico")), "left")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import decisions, enrichment, identity, linkage, rate_panel, reports, typos
 from ..sources import readers, writers
+from ..sources.scratch import cut
 
 
 def ingest(spark: SparkSession, folder: str, out: str, pattern: str = "*.csv", sep: str = ";") -> dict[str, str]:
@@ -33,12 +34,15 @@ def resolve_lenders(spark: SparkSession, panel: str, registry: DataFrame, codeli
 
 
 def propose_corrections(spark: SparkSession, enriched: str, out: str, max_distance: int = 1) -> None:
-    """Known lenders near each unresolved ID, side by side for a person."""
+    """Known lenders near each unresolved ID: one row each in ``long``, and in
+    ``wide`` side by side for a person."""
     loans = spark.read.parquet(enriched)
     found = typos.typo_candidates(
         enrichment.missing_ids(loans), typos.typo_reference(loans), max_distance
     )
-    writers.write_exchange(typos.widen_candidates(found), out)
+    found = cut(found)
+    writers.write_exchange(found, f"{out}/long")
+    writers.write_exchange(typos.widen_candidates(found), f"{out}/wide")
 
 
 def assign_keys(spark: SparkSession, panel: str, out: str, report: str) -> None:
@@ -64,9 +68,14 @@ def compare_rates(spark: SparkSession, identified: str, out: str, start_year: in
 
 
 def _existing(read) -> DataFrame | None:
+    """None where there is no such table yet; any other fault is one."""
     try:
         return read()
-    except (AnalysisException, IndexError):
+    except FileNotFoundError:
+        return None
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

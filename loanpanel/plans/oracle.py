@@ -117,9 +117,9 @@ SELECT source_file, year, count(*) FILTER (statement <> 'ZZZ') AS n_rows,
 FROM panel GROUP BY source_file, year""")
 
 REGISTRY = """registry AS (
-  SELECT CAST(45000000 + s_suppkey * 1001 AS VARCHAR) AS ico, s_name AS name,
+  SELECT CAST(CASE WHEN s_acctbal >= 0 THEN 45000000 ELSE 85000000 END + s_suppkey * 1001 AS VARCHAR) AS ico, s_name AS name,
          ['121', '112', '801', '381', '999', NULL][s_nationkey % 6 + 1] AS form_code
-  FROM supplier WHERE s_acctbal >= 0
+  FROM supplier
 ), codelist AS (
   SELECT code, arg_max(official, n_nationkey) AS official, arg_max(form_group, n_nationkey) AS form_group
   FROM (SELECT n_nationkey, ['121', '112', '801', '381', '331'][n_nationkey % 5 + 1] AS code,
@@ -175,13 +175,14 @@ LEFT JOIN reference r ON r.source_file = m.source_file AND levenshtein(m.missing
 
 ORACLE["typo_candidates"] = typo_sql(1)
 ORACLE["typo_candidates_2"] = typo_sql(2)
-ORACLE["typo_wide"] = f"""WITH c AS ({typo_sql(1)}), l AS (
-  SELECT source_file, missing_ico, count(ico) AS n_matches,
-         list({{'ico': ico, 'name': name}} ORDER BY pos) FILTER (ico IS NOT NULL) AS m
-  FROM c GROUP BY source_file, missing_ico
-) SELECT source_file, missing_ico, n_matches, {", ".join(
-    f"coalesce(m[{i}].ico, '') AS found_ico_{i}, coalesce(m[{i}].name, '') AS found_name_{i}" for i in range(1, 241)
-)} FROM l"""
+ORACLE["typo_wide"] = f"""WITH c AS ({typo_sql(1)}), p AS (
+  SELECT *, row_number() OVER (PARTITION BY source_file, missing_ico ORDER BY pos, ico, name) - 1 AS place,
+         count(ico) OVER (PARTITION BY source_file, missing_ico) AS n_matches
+  FROM c
+) SELECT source_file, missing_ico, n_matches, CAST(place // 20 AS INTEGER) AS page, {", ".join(
+    f"coalesce(max(CASE WHEN place % 20 = {i} THEN {part} END), '') AS found_{part}_{i + 1}"
+    for i in range(20) for part in ("ico", "name")
+)} FROM p GROUP BY ALL"""
 
 NO_PA = "regexp_replace(rate_text, 'p\\.?\\s*a\\.?', '', 'gi')"
 RATE_TEXT = f"trim(replace(replace(trim({NO_PA}), ',', '.'), '%', ''))"

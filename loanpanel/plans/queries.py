@@ -162,9 +162,10 @@ def control_total(spark, sf_dir):
 # --- lenders and mistyped IDs ----------------------------------------------
 
 def sample_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers in credit as the registry of lenders."""
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").filter("s_acctbal >= 0").selectExpr(
-        "CAST(45000000 + s_suppkey * 1001 AS STRING) AS ico",
+    """Suppliers as the registry of lenders; loans name those in debt by an
+    ID that is not theirs."""
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr(
+        "CAST(if(s_acctbal >= 0, 45000000, 85000000) + s_suppkey * 1001 AS STRING) AS ico",
         "s_name AS name",
         "get(array('121', '112', '801', '381', '999', NULL), s_nationkey % 6) AS form_code",
     )
@@ -240,7 +241,7 @@ def typo_candidates_2(spark, sf_dir):
 
 @query
 def typo_wide(spark, sf_dir):
-    return typos.widen_candidates(sample_candidates(spark, sf_dir, 1), width=240)
+    return typos.widen_candidates(sample_candidates(spark, sf_dir, 1))
 
 
 # --- interest rates --------------------------------------------------------

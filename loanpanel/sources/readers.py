@@ -22,9 +22,9 @@ from ..functions.text import na_to_null
 from .columns import REQUIRED, MissingColumns, normalise_headers, to_canonical
 from .scratch import together
 
+BROADCAST_ROWS = 200_000  # names of files that may be broadcast
 # Period in a file name: four digits of the year before three of the month.
 PERIOD = r"_(\d{4})\d{3}\.\w+$"
-FILE_SHIFT = 40  # pos holds the rank of a file above this many bits
 
 
 @dataclass(frozen=True)
@@ -35,11 +35,15 @@ class YearlyFiles:
     problems: dict[str, str]
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Paths of the matching files in a folder, in order. File contents are
-    not read."""
+def file_sizes(spark: SparkSession, folder: str, pattern: str) -> dict[str, int]:
+    """Paths of the matching files in a folder, in order, and their lengths.
+    File contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return sorted(row.path for row in files.select("path").collect())
+    return dict(sorted((row.path, row.length) for row in files.select("path", "length").collect()))
+
+
+def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    return list(file_sizes(spark, folder, pattern))
 
 
 def file_name(path: str) -> str:
@@ -101,17 +105,17 @@ def read_panel(
     """All yearly files of a folder as one panel of canonical columns with
     ``year``. Files before ``start_year`` are not opened. A file without a
     period in its name or without a required column is left out and named."""
-    problems, paths, ranks = {}, [], []
-    in_year: dict[str, int] = defaultdict(int)
-    for path in list_files(spark, folder, pattern):
+    problems, paths, offsets = {}, [], []
+    in_year: dict[str, int] = defaultdict(int)  # length of the files of a year so far
+    for path, length in file_sizes(spark, folder, pattern).items():
         name = file_name(path)
         found = re.search(period, name)
         if found is None:
             problems[name] = "no period in the file name"
         elif start_year is None or int(found.group(1)) >= start_year:
             paths.append(path)
-            ranks.append((name, in_year[found.group(1)]))
-            in_year[found.group(1)] += 1
+            offsets.append((name, in_year[found.group(1)]))
+            in_year[found.group(1)] += length + 1
     parts = []
     for header, group in by_header(spark, paths, sep).items():
         try:
@@ -122,12 +126,12 @@ def read_panel(
         raise FileNotFoundError(f"no usable files in {folder}: {problems}")
     panel = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     year = F.regexp_extract("source_file", period, 1).cast("int")
-    if max(in_year.values()) > 1:
-        # Several files of one year follow each other by name.
-        rank = spark.createDataFrame(ranks, "source_file string, _rank long")
-        panel = panel.join(F.broadcast(rank), "source_file").withColumn(
-            "pos", F.shiftleft("_rank", FILE_SHIFT) + F.col("pos")
-        ).drop("_rank")
+    if any(offset for _, offset in offsets):
+        # Several files of one year follow each other by name, each from where
+        # the bytes of those before it end.
+        before = spark.createDataFrame(offsets, "source_file string, _before long")
+        before = F.broadcast(before) if len(offsets) <= BROADCAST_ROWS else before
+        panel = panel.join(before, "source_file").withColumn("pos", F.col("_before") + F.col("pos")).drop("_before")
     return YearlyFiles(panel.withColumn("year", year), problems)
 
 
@@ -154,6 +158,8 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 def read_review_queue(spark: SparkSession, path: str) -> DataFrame:
     """A review queue as a person left it, blanks for missing values."""
     paths = list_files(spark, path, "*.csv")
+    if not paths:
+        raise FileNotFoundError(f"no review queue in {path}")
     header = header_of(first_line(spark, paths[0]), "\t")
     return read_files(spark, paths, header, "\t").drop("source_file").withColumnRenamed("pos", "queue_no").na.fill("")
 

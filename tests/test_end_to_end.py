@@ -41,7 +41,7 @@ def test_files_to_links(spark, tmp_path):
     E.resolve_lenders(spark, at("panel"), registry, at("codes.csv"), at("enriched"), at("missing"))
     assert {r["missing_ico"] for r in read_text(at("missing"))} == {"4531705", "1"}
     E.propose_corrections(spark, at("enriched"), at("typos"))
-    assert {(r["missing_ico"], r["found_ico_1"]) for r in read_text(at("typos"))} >= {("4531705", "45317054")}
+    assert {(r["missing_ico"], r["found_ico_1"]) for r in read_text(at("typos/wide"))} >= {("4531705", "45317054")}
 
     E.assign_keys(spark, at("enriched"), at("keys"), at("report"))
     report = "".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(at("report/part-*"))))

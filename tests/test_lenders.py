@@ -62,13 +62,16 @@ def test_near_pairs_find_all(spark, distance):
     a = spark.createDataFrame([(1, x) for x in left], "g int, a string")
     b = spark.createDataFrame([(1, x) for x in right], "g int, b string")
     want = {(x, y) for x in left for y in right if edit_distance(x, y) <= distance}
-    for pairs in (
-        typos.near_pairs(a, b, ["g"], "a", "b", distance),
-        typos.near_pairs_in_groups(a, b, ["g"], "a", "b", distance, small=10),
-        typos.near_pairs_in_groups(a, b, ["g"], "a", "b", distance, small=1000),
-    ):
-        rows = [(r.a, r.b) for r in pairs.collect()]
-        assert set(rows) == want and len(rows) == len(want)
+    rows = [(r.a, r.b) for r in typos.near_pairs(a, b, ["g"], "a", "b", distance).collect()]
+    assert set(rows) == want and len(rows) == len(want)
+
+
+def test_near_pairs_of_long_texts(spark):
+    """The number of keys does not grow with the text."""
+    text = "0123456789" * 2_000
+    a = spark.createDataFrame([(1, text), (1, None)], "g int, a string")
+    b = spark.createDataFrame([(1, text[:7] + "x" + text[9:]), (1, text[4:]), (1, None)], "g int, b string")
+    assert [len(r.b) for r in typos.near_pairs(a, b, ["g"], "a", "b", 2).collect()] == [19_999]
 
 
 def test_candidates_long_and_wide(spark):
@@ -92,5 +95,20 @@ def test_candidates_long_and_wide(spark):
         "45317054", "Komerční banka", "4531705",
     )
     assert wide["f", "777"].n_matches == 0 and wide["f", "777"].found_ico_1 == ""
-    with pytest.raises(ValueError, match="long form"):
-        typos.widen_candidates(found, width=2)
+    pages = typos.widen_candidates(found, page=2).filter("missing_ico = '4531705' AND source_file = 'f'").orderBy("page").collect()
+    assert [(r.page, r.n_matches, r.found_name_1, r.found_name_2) for r in pages] == [(0, 3, "KB", "Komerční banka"), (1, 3, "KB", "")]
+
+
+def test_very_many_matches(spark):
+    names = spark.range(1500).selectExpr("'f' AS source_file", "'90' AS lender_ico", "concat('n', id) AS lender_name", "id AS pos")
+    missing = spark.createDataFrame([("f", "9")], "source_file string, missing_ico string")
+    wide = typos.widen_candidates(typos.typo_candidates(missing, typos.typo_reference(names))).collect()
+    assert len(wide) == 75 and {r.n_matches for r in wide} == {1500} and {r.found_name_20 for r in wide} == {f"n{i}" for i in range(19, 1500, 20)}
+
+
+def test_registry_faults_and_repeats(spark):
+    rows = [("00000001", "B", "121", None), ("00000001", "A", "112", None), ("00000002", None, None, "HTTP Error 500"), ("00000003", None, None, "Connection Error")]
+    table = spark.createDataFrame(rows, "ico string, name string, form_code string, status string")
+    ids = spark.createDataFrame([("1",), ("2",), ("3",)], "lender_ico string")
+    got = {r.lender_ico: (r.registry_name, r.form_code) for r in enrichment.registry_lookup(ids, table).collect()}
+    assert got == {"1": ("A", "112"), "2": ("HTTP Error 500", ""), "3": ("Connection Error", "")}
