@@ -94,27 +94,23 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     and n_units, the number of different units that are known."""
     table = F.broadcast(known) if known.count() <= BROADCAST_LICENSES else known
     rows = docs.select("doc_id", F.explode(F.array(canonical_lines(F.coalesce("text", F.lit(""))))).alias("lines"))
-    rows = rows.select("doc_id", "lines", _digest(F.col("lines")).alias("digest"))
-    whole = F.concat(F.split("lines", "\n"), F.split("lines", r"\n ?(?:\n ?)+"), F.array("lines"))
-    plain = F.transform(whole, lambda x: F.trim(F.regexp_replace(x, r"[ \n]+", " ")))
-    units = rows.select("doc_id", "digest", F.explode(F.array_distinct(plain)).alias("unit")).filter("unit <> ''")
-    hits = units.select("doc_id", "digest", F.sha2("unit", 256).alias("unit_digest"))
-    hits = hits.join(table.withColumnRenamed("digest", "unit_digest"), "unit_digest")
-    # rows equal in id and digest have equal units
-    found = hits.groupBy("doc_id", "digest").agg(
-        F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),
-        F.countDistinct("unit_digest").alias("n_units"),
-        F.min(F.when(F.col("unit_digest") == F.col("digest"), F.col("license"))).alias("license"),
-    )
-    found = found.withColumnsRenamed({"doc_id": "found_id", "digest": "found_digest"})
-    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest"))
-    return rows.select("doc_id", "digest").join(found, same, "left").select(
-        "doc_id",
-        "digest",
-        "license",
-        F.coalesce("licenses", F.lit("")).alias("licenses"),
-        F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"),
+    units = F.concat(F.array("lines"), F.split("lines", "\n"), F.split("lines", r"\n ?(?:\n ?)+"))
+    plain = F.array_distinct(F.transform(units, lambda x: F.trim(F.regexp_replace(x, r"[ \n]+", " "))))
+    rows = rows.select("doc_id", F.explode(F.array(plain)).alias("units"))
+    whole = F.when(F.col("units")[0] != "", F.sha2(F.col("units")[0], 256))
+    rows = rows.select("doc_id", whole.alias("digest"), F.posexplode("units").alias("place", "unit"))
+    rows = rows.select("doc_id", "digest", "place", F.sha2("unit", 256).alias("unit_digest"))
+    table = table.withColumnsRenamed({"digest": "unit_digest", "license": "found"})
+    hits = F.when(F.col("found").isNotNull(), F.col("unit_digest"))
+    # rows equal in id and digest have equal units: they are counted, and come back as often
+    out = rows.join(table, "unit_digest", "left").groupBy("doc_id", "digest").agg(
+        F.array_join(F.sort_array(F.collect_set("found")), ",").alias("licenses"),
+        F.size(F.collect_set(hits)).cast("long").alias("n_units"),
+        F.min(F.when(F.col("place") == 0, F.col("found"))).alias("license"),
+        F.count(F.when(F.col("place") == 0, True)).cast("int").alias("times"),
     )
+    again = out.withColumn("time", F.explode(F.sequence(F.lit(1), "times")))
+    return again.select("doc_id", "digest", "license", "licenses", "n_units")
 
 
 def oracle() -> str:
