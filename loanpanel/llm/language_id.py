@@ -113,17 +113,21 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     if not languages:
         return Model([], np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0))
     taken: dict[str, int] = {}
-    landmarks = []
+    landmarks, chosen = [], []
     most = max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS // len(languages)))
-    for found, label in rows:
+    for i, (found, label) in enumerate(rows):
         if taken.setdefault(label, 0) < most:
             taken[label] += 1
             landmarks.append(found)
-    basis = np.zeros((DIMENSIONS, len(landmarks)), np.float32)
-    for j, found in enumerate(landmarks):
-        basis[found, j] = 1 / math.sqrt(len(found))
-    kernel = np.array([basis[found].sum(0) / math.sqrt(len(found)) for found, _ in rows], np.float64)
-    among = np.array([basis[found].sum(0) / math.sqrt(len(found)) for found in landmarks], np.float64)
+            chosen.append(i)
+    kernel = np.zeros((len(rows), len(landmarks)))
+    for at in range(0, len(landmarks), 50):  # a few landmarks at a time bound the memory
+        basis = np.zeros((DIMENSIONS, len(landmarks[at : at + 50])), np.float32)
+        for j, found in enumerate(landmarks[at : at + 50]):
+            basis[found, j] = 1 / math.sqrt(len(found))
+        for i, (found, _) in enumerate(rows):
+            kernel[i, at : at + 50] = basis[found].sum(0) / math.sqrt(len(found))
+    among = kernel[chosen]
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])
@@ -136,7 +140,9 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     centred = features - middle
     gram = centred.T @ (share * centred) + RIDGE * np.eye(features.shape[1])
     solved = np.linalg.solve(gram, centred.T @ (share * (target - bias)))
-    weights = (basis.astype(np.float64) @ (whiten @ solved)).astype(np.float32)
+    weights = np.zeros((DIMENSIONS, len(languages)), np.float32)
+    for found, share_of in zip(landmarks, whiten @ solved):
+        weights[found] += share_of / math.sqrt(len(found))
     return Model(languages, weights, bias - middle @ solved)
 
 
