@@ -19,9 +19,13 @@ from ..sources import readers, writers
 from ..sources.scratch import cut
 
 
-def ingest(spark: SparkSession, folder: str, out: str, pattern: str = "*.csv", sep: str = ";") -> dict[str, str]:
-    """Yearly files to a panel. Returns the files left out and why."""
-    files = readers.read_panel(spark, folder, pattern, sep)
+def ingest(
+    spark: SparkSession, folder: str, out: str, pattern: str = "*.csv", sep: str = ";", multi_line: bool = True
+) -> dict[str, str]:
+    """Yearly files to a panel. Returns the files left out and why. Quoted
+    values may hold line breaks unless ``multi_line`` is off, which lets large
+    files be read in parts."""
+    files = readers.read_panel(spark, folder, pattern, sep, multi_line=multi_line)
     writers.write_panel(files.panel, out)
     return files.problems
 
@@ -88,6 +92,7 @@ class FollowPaths:
     early_payoffs: str
     queue: str
     store: str
+    tables: str | None = None  # folder for the counts of the run
 
 
 def follow_loans(
@@ -113,4 +118,7 @@ def follow_loans(
         writers.write_panel(result.panel(), paths.out)
         writers.write_exchange(result.early_payoffs(), paths.early_payoffs)
         writers.write_review_queue(result.review_queue(), paths.queue)
+        if paths.tables is not None:
+            for name in ("stats", "reason_counts", "outcomes"):
+                getattr(result, name)().write.mode("overwrite").parquet(f"{paths.tables}/{name}")
     return result

@@ -284,12 +284,12 @@ SELECT year, muni_id, lender_ico, start_date, n_l, n_c, missing,
             ELSE 'auto' END AS signal
 FROM pairs"""
 
-ORDER_PAIRS = f"""{IDENTIFIED}, pairs AS (
+ORDER_PAIRS = f"""{IDENTIFIED}, pairs AS MATERIALIZED (
   SELECT a.pos // 2 AS k, a.year AS y1, b.year AS y2,
          a.composite_id AS y1_composite_id, b.composite_id AS y2_composite_id
   FROM identified a JOIN identified b ON a.pos // 2 = b.pos // 2 AND a.year < b.year
   WHERE a.reason IS NULL AND b.reason IS NULL
-), store AS (
+), store AS MATERIALIZED (
   SELECT y1_composite_id, y2_composite_id, CASE WHEN (k + y2) % 5 < 2 THEN 'N' ELSE 'Y' END AS decision,
          k * 20 + y2 - y1 AS seq FROM pairs WHERE k % 4 <> 3
   UNION ALL
@@ -297,13 +297,13 @@ ORDER_PAIRS = f"""{IDENTIFIED}, pairs AS (
          k * 20 + 10 + y2 - y1 FROM pairs WHERE (k + y2) % 5 IN (0, 4) AND k % 4 <> 3
 ), latest AS (
   SELECT y1_composite_id, y2_composite_id, arg_max(decision, seq) AS decision FROM store GROUP BY ALL
-), queue AS (
+), queue AS MATERIALIZED (
   SELECT y1_composite_id, y2_composite_id, k * 100 + (y1 - 2020) * 10 + y2 - 2020 AS queue_no,
          ['y ', 'N', 'maybe', ' n', 'Y', ''][k % 6 + 1] AS decision FROM pairs
 ), fresh AS (
-  SELECT y1_composite_id, y2_composite_id, queue_no, upper(trim(decision)) AS decision FROM queue q
-  WHERE upper(trim(decision)) IN ('Y', 'N') AND NOT EXISTS (
-    FROM store s WHERE s.y1_composite_id = q.y1_composite_id AND s.y2_composite_id = q.y2_composite_id)
+  SELECT q.y1_composite_id, q.y2_composite_id, q.queue_no, upper(trim(q.decision)) AS decision
+  FROM queue q ANTI JOIN store s ON s.y1_composite_id = q.y1_composite_id AND s.y2_composite_id = q.y2_composite_id
+  WHERE upper(trim(q.decision)) IN ('Y', 'N')
 )"""
 ORACLE["unapplied_reviews"] = f"WITH {ORDER_PAIRS} SELECT * FROM fresh"
 ORACLE["ingest_reviews"] = f"""WITH {ORDER_PAIRS}

@@ -25,7 +25,7 @@ def test_files_to_links(spark, tmp_path):
     def loan(muni, lender, purpose, start, end, amount):
         return [muni, "1", lender, "Banka", purpose, start, end, amount, amount]
 
-    same = loan("m1", "45317054", "voda", "20200101", "20300101", "1000")
+    same = loan("m1", "45317054", '"voda\nnebo"', "20200101", "20300101", "1000")
     write(tmp_path / "raw" / "loans_2022012.csv", [f'"{c}"' for c in COMMON], [
         same, loan("m2", "45317054", "škola", "20190101", "20300101", "500"), loan("m3", "4531705", "x", "20190101", "20300101", "7"),
         loan("m9", "1", "d", "20190101", "20300101", "3"), loan("m9", "1", "d", "20190101", "20300101", "3"),
@@ -35,6 +35,8 @@ def test_files_to_links(spark, tmp_path):
         loan("m2", "45317054", "skola", "20190102", "20300101", "900"),
     ], ";")
     assert E.ingest(spark, at("raw"), at("panel")) == {}
+    purposes = [r.purpose for r in spark.read.parquet(at("panel")).filter("muni_id = 'm1'").orderBy("year").collect()]
+    assert purposes == ["voda\nnebo", "voda"]
 
     (tmp_path / "codes.csv").write_text('"chodnota1","text1","text2"\n"121","Akciová společnost","A"\n', encoding="utf-8")
     registry = spark.createDataFrame([("45317054", "Komerční banka", "121")], "ico string, name string, form_code string")
@@ -48,7 +50,7 @@ def test_files_to_links(spark, tmp_path):
     assert "repeated within the file (DEDUP_POPULATED): 2" in report
     assert {r.n for r in E.compare_rates(spark, at("keys"), at("rates")).collect()} == set()  # no rate column
 
-    paths = E.FollowPaths(at("keys"), at("linked"), at("early"), at("queue"), at("store"))
+    paths = E.FollowPaths(at("keys"), at("linked"), at("early"), at("queue"), at("store"), at("tables"))
     E.follow_loans(spark, paths, dry_run=True)
     assert not glob.glob(at("linked"))
     E.follow_loans(spark, paths)
