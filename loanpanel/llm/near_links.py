@@ -99,20 +99,22 @@ def common(x: np.ndarray, y: np.ndarray) -> int:
     return len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
 
 
-def hashes(items: list[bytes]) -> list[np.ndarray]:
-    """Sets that are stored as sorted 64-bit hashes."""
-    return [np.frombuffer(x, np.uint64) for x in items]
+def hashes(items: list[bytes]) -> list[dict[int, np.ndarray]]:
+    """Sets that are stored as sorted 64-bit hashes, all of one kind."""
+    return [{0: np.frombuffer(x, np.uint64)} for x in items]
 
 
-def _linked(percent: int, read: Callable[[list[bytes]], list[np.ndarray]]):
+def _reach(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    n, m = sorted((len(x), len(y)))
+    both = common(x, y) if 100 * n >= percent * m else 0
+    return both > 0 and 100 * both >= percent * (n + m - both)
+
+
+def _linked(percent: int, read: Callable[[list[bytes]], list[dict[int, np.ndarray]]]):
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in (b.slice(at, COMPARED) for b in batches for at in range(0, b.num_rows, COMPARED)):
-            kept = []
-            for x, y in zip(read(batch.column("items_a").to_pylist()), read(batch.column("items_b").to_pylist())):
-                n, m = sorted((len(x), len(y)))
-                both = common(x, y) if 100 * n >= percent * m else 0
-                kept.append(both > 0 and 100 * both >= percent * (n + m - both))
-            kept = pa.array(kept, pa.bool_())
+            pairs = zip(read(batch.column("items_a").to_pylist()), read(batch.column("items_b").to_pylist()))
+            kept = pa.array([any(_reach(x[k], y[k], percent) for k in x if k in y) for x, y in pairs], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
     return run
@@ -148,7 +150,8 @@ def _joined(label: DataFrame, more: DataFrame) -> DataFrame:
 def groups(members: DataFrame, sets: DataFrame, percent: int, read=hashes) -> DataFrame:
     """(node, component) of all nodes with a link. sets: node and items of all
     members, one row a node, and sketch if pairs are to be estimated first;
-    read turns a list of items into sorted sets of 64-bit hashes."""
+    read turns a list of items into sorted sets of 64-bit hashes by kind; a pair
+    is linked that reaches the limit in one kind that both have."""
     hubs = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     label = members.select("node", F.col("node").alias("component")).limit(0)
     width = 1
