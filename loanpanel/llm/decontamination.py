@@ -12,7 +12,12 @@ documents that have the windows.
 
 Placeholders: a name is a capitalised word within a sentence (after a letter,
 digit or comma and a space); a number may have points or commas inside; a unit
-follows a number. Words in capitals throughout are plain words.
+follows a number. Words in capitals throughout are plain words. Runs of white
+space count as one space.
+
+Texts have a second form, in which names stay lower-cased words. An item is in
+a document if it is so in one of the two forms: with other names in it in the
+first, with any case and line breaks in the second.
 
 Only DataFrame functions. The windows of all items are broadcast while they
 are at most BROADCAST_WINDOWS, and joined by shuffle beyond. Items of fewer
@@ -51,6 +56,8 @@ UNITS = (
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] \p{Lu})\p{Ll}+"
 _NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
 _UNITS = f"(?:{'|'.join(UNITS)})(?![\\p{{L}}\\p{{N}}])"
+#: White space other than a single space.
+_SPACES = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+"
 _BETWEEN = r"[^\p{L}\p{N}\x{e000}-\x{e002}]+"
 
 
@@ -59,10 +66,17 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, _BETWEEN), "")
 
 
-def marked(text: Column) -> Column:
-    """The text with placeholders for names and numbers."""
+def folded(text: Column, names: bool) -> Column:
+    """The text with single spaces, and without case if names are plain words."""
     text = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT, "   ")
-    return F.regexp_replace(F.regexp_replace(text, _NAME, NAME), _NUMBER, NUMBER)
+    text = F.regexp_replace(text, _SPACES, " ")
+    return text if names else F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
+def marked(text: Column, names: bool) -> Column:
+    """The text with placeholders for numbers, and for names unless they are plain words."""
+    text = folded(text, names)
+    return F.regexp_replace(F.regexp_replace(text, _NAME, NAME) if names else text, _NUMBER, NUMBER)
 
 
 def template(text: Column) -> Column:
@@ -71,11 +85,10 @@ def template(text: Column) -> Column:
     return _words(F.lower(F.when(F.contains(text, F.lit(NUMBER)), units).otherwise(text)))
 
 
-def values(text: Column) -> Column:
+def values(text: Column, names: bool) -> Column:
     """The same words with what the placeholders stand for behind them."""
-    text = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT, "   ")
-    text = F.regexp_replace(text, r"(?<=[0-9])[.,](?=[0-9])", "")
-    text = F.regexp_replace(text, _NAME, f"{NAME}$0")
+    text = F.regexp_replace(folded(text, names), r"(?<=[0-9])[.,](?=[0-9])", "")
+    text = F.regexp_replace(text, _NAME, f"{NAME}$0") if names else text
     text = F.regexp_replace(text, "[0-9]+", f"{NUMBER}$0")
     return _words(F.lower(F.regexp_replace(text, f"(?<=[0-9]) ?({_UNITS})", f" {UNIT}$1")))
 
@@ -101,16 +114,27 @@ def findings(docs: DataFrame, items: DataFrame) -> DataFrame:
     document: windows of the item found, and their share of its windows, and slots
     that were compared."""
     known = items.filter("text IS NOT NULL").select("item_id", F.monotonically_increasing_id().alias("item"), "text")
-    known = _once(known, "marked", marked(F.col("text")))
-    known = known.select("item_id", "item", template(F.col("marked")).alias("words"), values(F.col("text")).alias("values"))
     known = materialise(known, "items")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    found = _found(texts, known, True).union(_found(texts, known, False))
+    # the form with more of the item
+    best = F.max(F.struct("coverage", "windows", "slots")).alias("best")
+    found = found.groupBy("doc_id", "item").agg(best).select("doc_id", "item", "best.*")
+    return found.join(known.select("item", "item_id"), "item").select("doc_id", "item_id", "windows", "coverage", "slots")
+
+
+def _found(texts: DataFrame, known: DataFrame, names: bool) -> DataFrame:
+    """(doc_id, item, windows, coverage, slots) of the items found in one form."""
+    known = _once(known, "marked", marked(F.col("text"), names))
+    known = known.select("item", template(F.col("marked")).alias("words"), values(F.col("text"), names).alias("values"))
+    known = materialise(known, "item-words")
     known = known.filter(F.size("words") >= SHORTEST).withColumn("length", F.least(F.size("words"), F.lit(WINDOW)))
     lengths = sorted(r.length for r in known.select("length").distinct().collect()) or [WINDOW]  # at most WINDOW of them
     # an item within a sentence of a document may begin with what looks like a name
     inner = known.withColumn("words", F.concat(F.array(F.lit(NAME)), F.slice("words", 2, F.size("words") - 1)))
     parts = []
     for n in lengths:
-        for form, first in ((known, False), (inner, True)):
+        for form, first in ((known, False), (inner, True)) if names else ((known, False),):
             part = form.filter(F.col("length") == n).select("item", "words", F.posexplode(_windows("words", [n])).alias("at", "hash"))
             signs = F.array(*map(F.lit, (NAME, NUMBER, UNIT)))
             slots = F.arrays_overlap(F.slice("words", F.col("at") + 1, n), signs)
@@ -119,8 +143,7 @@ def findings(docs: DataFrame, items: DataFrame) -> DataFrame:
     item_windows = cut(reduce(DataFrame.union, parts).distinct())
     totals = item_windows.groupBy("item").agg(F.countDistinct("at").alias("total"))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    words = _once(texts.select("doc_id", marked(F.col("text")).alias("text")), "marked", F.col("text"))
+    words = _once(texts.select("doc_id", marked(F.col("text"), names).alias("text")), "marked", F.col("text"))
     words = _once(words.select("doc_id", "marked"), "words", template(F.col("marked"))).select("doc_id", "words")
     seen = words.select("doc_id", F.posexplode(_windows("words", lengths)).alias("place", "hash"))
     few = item_windows.count() <= BROADCAST_WINDOWS
@@ -134,8 +157,8 @@ def findings(docs: DataFrame, items: DataFrame) -> DataFrame:
     before = sum_of_shorter(lengths)
     slots = cut(slots.select("doc_id", "item", "place", "at"))
     chosen = only(texts, slots.select("doc_id").distinct(), "doc_id")
-    chosen = _once(chosen, "marked", marked(F.col("text")))
-    filled = _once(chosen, "words", F.array(template(F.col("marked")), values(F.col("text"))))
+    chosen = _once(chosen, "marked", marked(F.col("text"), names))
+    filled = _once(chosen, "words", F.array(template(F.col("marked")), values(F.col("text"), names)))
     filled = filled.select("doc_id", F.col("words")[0].alias("words"), F.col("words")[1].alias("values"))
     met = slots.join(filled, "doc_id").join(known.select("item", F.col("words").alias("item_words"), F.col("values").alias("item_values")), "item")
     start = F.col("place") - before("words")
@@ -154,9 +177,7 @@ def findings(docs: DataFrame, items: DataFrame) -> DataFrame:
     # one place of the document that fits is enough
     fits = fits.groupBy("doc_id", "item").agg(F.min("given").alias("given"), F.sum("slots").alias("slots"))
     out = found.join(fits, ["doc_id", "item"], "left").filter("given IS NULL OR given = 1")
-    return out.join(known.select("item", "item_id"), "item").select(
-        "doc_id", "item_id", "windows", "coverage", F.coalesce("slots", F.lit(0)).alias("slots")
-    )
+    return out.select("doc_id", "item", "windows", "coverage", F.coalesce("slots", F.lit(0)).alias("slots"))
 
 
 def sum_of_shorter(lengths: list[int]):
