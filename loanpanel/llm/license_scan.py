@@ -3,7 +3,7 @@
 Texts are made canonical: lower case, without lines that state a copyright,
 with equivalent spellings unified and everything but letters and digits as one
 space. The digest of the whole result is looked up among the digests of known
-licences by a hash join. Units are the whole document, each paragraph (between
+licences (known_texts) by a hash join. Units are the whole document, each paragraph (between
 empty lines) and each line, since licences mostly stand within documents.
 
 Only DataFrame functions; the table of known digests is broadcast while it has
@@ -17,6 +17,9 @@ empty table; other columns are not read.
 
 from __future__ import annotations
 
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,53 @@ KNOWN = (
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     ),
 )
+_OR_LATER = "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_OF = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+_OLD = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+_OLD += "the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+#: What heads source files.
+HEADERS = (
+    ("GPL-2.0-or-later", _OLD.format("program", "General Public License", "2")),
+    ("GPL-2.0-or-later", (_OF + _OR_LATER).format("General Public License", "2")),
+    ("GPL-3.0-or-later", (_OF + _OR_LATER).format("General Public License", "3")),
+    ("LGPL-2.1-or-later", _OLD.format("library", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0-or-later", (_OF + _OR_LATER).format("Lesser General Public License", "3")),
+    ("AGPL-3.0-or-later", (_OF + _OR_LATER).format("Affero General Public License", "3")),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+        "compliance with the License. You may obtain a copy of the License at",
+    ),
+)
+#: Titles that are given above a text or left out.
+TITLES = {"MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License", "ISC License (ISC)"), "Zlib": ("zlib License",)} | {
+    f"BSD-{n}-Clause": (f"BSD {n}-Clause License",) for n in (2, 3)
+}
+_ENDS = "END OF TERMS AND CONDITIONS"
+
+
+@cache
+def known_texts() -> tuple[tuple[str, str], ...]:
+    """KNOWN, HEADERS and the whole texts of the folder licenses (name of the
+    file, up to ~), with their titles and without instructions for use."""
+    out = [*KNOWN, *HEADERS]
+    for path in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+        name, text = path.stem.split("~")[0], path.read_text("utf-8")
+        body, end, _ = text.partition(_ENDS)
+        out += [(name, text), *([(name, body), (name, body + end)] if end else [])]
+        titles = TITLES.get(name, ())
+        first, _, rest = text.partition("\n\n")
+        body = rest if first.strip() in titles else text
+        rights = ("", "All rights reserved.\n\n") if name.startswith("BSD") else ("",)
+        out += [(name, f"{t}\n\n{r}{body}") for t in ("", *titles) for r in rights]
+    return tuple(out)
+
+
 #: Spellings that count as equal, after lower-casing.
 SPELLINGS = (
     ("licence", "license"), ("licencing", "licensing"), ("sub-license", "sublicense"), ("sub license", "sublicense"),
@@ -82,9 +132,9 @@ def _digest(lines: Column) -> Column:
     return F.when(plain != "", F.sha2(plain, 256))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known=None) -> DataFrame:
     """(digest, license) of known texts, one row a digest."""
-    texts = spark.createDataFrame(list(known), "license string, text string")
+    texts = spark.createDataFrame(list(known or known_texts()), "license string, text string")
     return texts.select(_digest(canonical_lines(F.col("text"))).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
 
 
@@ -125,7 +175,7 @@ def oracle() -> str:
     def plain(text: str) -> str:
         return f"trim(regexp_replace({text}, '[ \n]+', ' ', 'g'))"
 
-    quoted = (tuple(x.replace("'", "''") for x in row) for row in KNOWN)
+    quoted = (tuple(x.replace("'", "''") for x in row) for row in known_texts())
     rows = ", ".join(f"('{name}', '{text}')" for name, text in quoted)
     return f"""
 WITH known AS (
