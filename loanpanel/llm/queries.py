@@ -13,6 +13,7 @@ from loanpanel.llm import (
     language_id,
     license_scan,
     line_dedup,
+    sharding,
     superminhash,
     token_arrow,
     toxicity,
@@ -147,3 +148,12 @@ FROM f
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that stand in documents."""
     return decontamination.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op12_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of all documents, each with the mixture of sources."""
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_interleave"] = sharding.oracle()
