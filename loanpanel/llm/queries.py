@@ -11,6 +11,7 @@ from loanpanel.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    lexical_search,
     license_scan,
     line_dedup,
     sharding,
@@ -157,3 +158,12 @@ def op12_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_interleave"] = sharding.oracle()
+
+
+@_query
+def op13_aho_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_aho_search"] = lexical_search.oracle()

@@ -62,7 +62,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame
     )
     given = [F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size"), F.col("text_crc32")]
     rows = rows.select("*", F.md5(F.concat_ws("|", *given)).alias("shuffled"), F.monotonically_increasing_id().alias("copy"))
-    n = docs.count()
+    rows = materialise(rows, "shuffled")  # texts are read once, not for the sampled ranges as well
+    n = rows.count()
     ranked = _places(rows, ["stratum", "shuffled", "doc_id", "size", "text_crc32", "copy"], n, "place")
     ranked = materialise(ranked.drop("shuffled", "copy"), "ranked")
     strata = ranked.groupBy("stratum").agg(F.min("place").alias("first"), F.count("*").alias("rows"))
