@@ -197,7 +197,7 @@ def _scored(counted: DataFrame, slab: Slab, weight: np.ndarray, n_docs: int, n_t
             at = 0
             places = np.cumsum(of_term[term])
             while at < len(term):
-                until = int(np.searchsorted(places, (places[at - 1] if at else 0) + 4_000_000, "right"))
+                until = int(np.searchsorted(places, (places[at - 1] if at else 0) + 1_000_000, "right"))
                 until = max(until, at + 1)
                 until = int(np.searchsorted(row, row[until - 1], "right"))  # whole documents
                 t, r = term[at:until], row[at:until]

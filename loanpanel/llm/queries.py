@@ -10,6 +10,7 @@ from loanpanel.llm import (
     bpe,
     decontamination,
     exact_dedup,
+    hard_negatives,
     language_id,
     lexical_search,
     license_scan,
@@ -167,3 +168,14 @@ def op13_aho_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_aho_search"] = lexical_search.oracle()
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every 7th has another label."""
+    rows = hard_negatives.whole_numbers(table(spark, sf_dir, "embeddings"))
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", other))
+
+
+ORACLE["op11_hard_negatives"] = hard_negatives.oracle()
