@@ -210,7 +210,7 @@ def _shape(rows: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:
     return n, dim, mean, dev
 
 
-def write_blocks(rows: DataFrame, folder: str, every: int, mining: Mining) -> tuple[DataFrame, int, int]:
+def write_blocks(rows: DataFrame, folder: str, every: int, mining: Mining, block: int = BLOCK) -> tuple[DataFrame, int, int]:
     """Write the blocks; returns the stored manifest, the number of rows and
     of components. A manifest row is a file (part, stem, rows) with a chunk of
     its anchors (chunk, n_anchors, ids, labels, floors, vectors)."""
@@ -244,9 +244,9 @@ def write_blocks(rows: DataFrame, folder: str, every: int, mining: Mining) -> tu
                     writer.add(held_label, held_ids, held)
                     held_ids, held = held_ids[:0], held[:0]
                 held_label, held_ids, held = label, np.concatenate([held_ids, ids[own]]), np.concatenate([held, v[own]])
-                while len(held_ids) >= BLOCK:
-                    writer.add(label, held_ids[:BLOCK], held[:BLOCK])
-                    held_ids, held = held_ids[BLOCK:], held[BLOCK:]
+                while len(held_ids) >= block:
+                    writer.add(label, held_ids[:block], held[:block])
+                    held_ids, held = held_ids[block:], held[block:]
         if writer is None:
             return
         if len(held_ids):
@@ -410,13 +410,13 @@ def _first(rows: DataFrame, keys: list[str], top: int, name: str) -> DataFrame:
     return rows.withColumn(name, F.row_number().over(order)).filter(F.col(name) <= top)
 
 
-def mine(rows: DataFrame, every: int = 50, mining: Mining = Mining()) -> DataFrame:
+def mine(rows: DataFrame, every: int = 50, mining: Mining = Mining(), block: int = BLOCK) -> DataFrame:
     """Hard negatives for the rows (vec_id, label, v) whose vec_id is divisible
     by `every`: anchor_id, positive_id, rank, negative_id, positive_score,
     negative_score."""
     spark = rows.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    manifest, _, dim = write_blocks(rows, f"{scratch_folder(spark)}/blocks", every, mining)
+    manifest, _, dim = write_blocks(rows, f"{scratch_folder(spark)}/blocks", every, mining, block)
     runs, slabs = _units(manifest, dim, cores)
     units = slabs.join(runs, "run")
     found = _first(positives(_dealt(units), dim, mining), ["anchor"], mining.positives, "place")
