@@ -4,7 +4,8 @@ Rows of a source are shuffled by a seeded digest and ranked. A row's fraction
 is (rank + 1/2) / rows of its source. Sorted by fraction, rows of all sources
 are interleaved in proportion, and so are those of any run of the order: cut
 into runs of equal length, every shard has its share of every source to within
-two rows. Shards differ by one row at most (law `rows`).
+2 + k p rows, where k is the number of sources and p the source's part of all
+rows. Shards differ by one row at most (law `rows`).
 
 Only DataFrame functions. Both ranks come from `_places`: rows are dealt by
 ranges of a sort key that no two rows share, sorted in their partitions, and
