@@ -20,13 +20,18 @@ from ..sources.scratch import cut
 
 
 def ingest(
-    spark: SparkSession, folder: str, out: str, pattern: str = "*.csv", sep: str = ";", multi_line: bool = True
+    spark: SparkSession, folder: str, out: str, pattern: str = "*.csv", sep: str = ";", multi_line: bool = True,
+    tables: str | None = None,
 ) -> dict[str, str]:
     """Yearly files to a panel. Returns the files left out and why. Quoted
     values may hold line breaks unless ``multi_line`` is off, which lets large
-    files be read in parts."""
+    files be read in parts. ``tables`` is a folder for the malformed rows and
+    for the numbers of rows of each file by kind."""
     files = readers.read_panel(spark, folder, pattern, sep, multi_line=multi_line)
     writers.write_panel(files.panel, out)
+    if tables is not None:
+        writers.write_run_table(files.malformed, f"{tables}/malformed")
+        writers.write_run_table(files.counts(), f"{tables}/row_counts")
     return files.problems
 
 
@@ -49,10 +54,13 @@ def propose_corrections(spark: SparkSession, enriched: str, out: str, max_distan
     writers.write_exchange(typos.widen_candidates(found), f"{out}/wide")
 
 
-def assign_keys(spark: SparkSession, panel: str, out: str, report: str) -> None:
+def assign_keys(spark: SparkSession, panel: str, out: str, report: str, tables: str | None = None) -> None:
     """Keys and reasons of exclusion for every row, and the loss report. Kept
-    rows are those in the folder of reason KEPT."""
+    rows are those in the folder of reason KEPT. ``tables`` is a folder for the
+    comparison with the files' control totals."""
     writers.write_identified(identity.identify(spark.read.parquet(panel)), out)
+    if tables is not None:
+        writers.write_run_table(reports.control_total(spark.read.parquet(panel)), f"{tables}/control_total")
     rows = spark.read.parquet(out).withColumn("reason", F.nullif(F.col("reason"), F.lit("KEPT")))
     lines = reports.report_lines(reports.loss_report(rows), reports.amount_histogram(rows))
     writers.write_report(lines, report)
@@ -93,6 +101,7 @@ class FollowPaths:
     queue: str
     store: str
     tables: str | None = None  # folder for the counts of the run
+    texts: str | None = None  # folder for the linked panel as yearly texts
 
 
 def follow_loans(
@@ -118,7 +127,9 @@ def follow_loans(
         writers.write_panel(result.panel(), paths.out)
         writers.write_exchange(result.early_payoffs(), paths.early_payoffs)
         writers.write_review_queue(result.review_queue(), paths.queue)
+        if paths.texts is not None:
+            writers.write_yearly(spark.read.parquet(paths.out).drop("year"), paths.texts)
         if paths.tables is not None:
             for name in ("stats", "reason_counts", "outcomes"):
-                getattr(result, name)().write.mode("overwrite").parquet(f"{paths.tables}/{name}")
+                writers.write_run_table(getattr(result, name)(), f"{paths.tables}/{name}")
     return result

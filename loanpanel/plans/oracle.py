@@ -315,6 +315,7 @@ SELECT q.y1_composite_id, q.y2_composite_id, q.queue_no, l.decision FROM queue q
 LEFT JOIN latest l ON l.y1_composite_id = q.y1_composite_id AND l.y2_composite_id = q.y2_composite_id"""
 
 ORACLE["header_normalize"] = over_panel(
-    "SELECT year, statement, muni_id, borrower_ico, lender_ico, lender_name, purpose, rate_text, signed_on,"
+    "SELECT 'loans_' || year || '012.csv' AS source_file, year,"
+    " row_number() OVER (PARTITION BY year ORDER BY pos) - 1 AS pos, statement, muni_id, borrower_ico, lender_ico, lender_name, purpose, rate_text, signed_on,"
     " matures_on, agreed_amount, drawn_amount, paid_interest FROM panel"
 )

@@ -63,23 +63,28 @@ FILE_HEADERS = {
 }
 
 
-@query
-def header_normalize(spark, sf_dir):
-    """The panel written as yearly files, the first year without rates and the
-    later ones in another order of columns, and read back."""
+def yearly_files(spark, sf_dir) -> str:
+    """The panel written as yearly files into one folder, the first year
+    without rates and the later ones in another order of columns, rows in order
+    of ``pos``."""
     panel = raw_panel(spark, sf_dir)
     folder = f"{scratch_folder(spark)}/yearly-{uuid.uuid4().hex}"
     for year in YEARS:
         columns = [c for c in FILE_HEADERS if year > 2021 or c != "rate_text"]
         columns = columns if year % 2 else columns[::-1]
-        panel.filter(F.col("year") == year).select(
-            *(F.col(c).alias(FILE_HEADERS[c]) for c in columns)
-        ).write.csv(f"{folder}/{year}", **writers.TEXT_TABLE | {"sep": ";"})
-    files = [
-        readers.read_panel(spark, f"{folder}/{year}", "*.csv", ";", period=r"(part)").panel.drop("year")
-        .withColumn("year", F.lit(year)) for year in YEARS
-    ]
-    return reduce(DataFrame.unionByName, files).select("year", *FILE_HEADERS)
+        rows = panel.filter(F.col("year") == year).orderBy("pos")
+        rows.select(*(F.col(c).alias(FILE_HEADERS[c]) for c in columns)).write.csv(
+            f"{folder}/loans_{year}012.csv", **writers.TEXT_TABLE | {"sep": ";"}
+        )
+    return folder
+
+
+@query
+def header_normalize(spark, sf_dir):
+    """Yearly files of different headers read back from one folder, with the
+    year from their names and each row's place in its file."""
+    files = readers.read_panel(spark, yearly_files(spark, sf_dir), "*.csv", ";")
+    return files.panel.select("source_file", "year", "pos", *FILE_HEADERS)
 
 
 # --- scalar expressions ----------------------------------------------------

@@ -74,9 +74,10 @@ def find_column(names: Iterable[str], token: str) -> str | None:
     return next((name for name in names if token in name), None)
 
 
-def to_canonical(df: DataFrame, required: Iterable[str] = REQUIRED) -> DataFrame:
+def to_canonical(df: DataFrame, required: Iterable[str] = REQUIRED, extra: Iterable[str] = ()) -> DataFrame:
     """Select the panel's columns by token. An absent optional column becomes
-    NULL, absent required ones raise and are all named."""
+    NULL, absent required ones raise and are all named. ``extra`` columns are
+    kept as they are."""
     tokens = LOAN_TOKENS | {
         name: token for name, token in REGISTRY_TOKENS.items() if find_column(df.columns, token)
     }
@@ -84,7 +85,7 @@ def to_canonical(df: DataFrame, required: Iterable[str] = REQUIRED) -> DataFrame
     absent = sorted(name for name in required if found[name] is None)
     if absent:
         raise MissingColumns("no column for " + ", ".join(absent))
-    kept = [F.col(name) for name in BOOKKEEPING if name in df.columns]
+    kept = [F.col(name) for name in (*BOOKKEEPING, *extra) if name in df.columns]
     return df.select(
         *kept,
         *(

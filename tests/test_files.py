@@ -67,6 +67,81 @@ def test_order_within_and_across_files(spark, tmp_path):
     assert got == list(range(2 * n))
 
 
+def numbers(panel):
+    got = {}
+    for r in panel.orderBy("year", "pos").collect():
+        got.setdefault(r.year, []).append((r.pos, r.source_file, int(r.muni_id)))
+    return got
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+@pytest.mark.parametrize("split", ["4096", "128m"])
+def test_places_of_files_that_share_a_task(spark, tmp_path, multi_line, split):
+    """Small files read by one task after another, and large ones in parts,
+    have dense places in order of file name and line."""
+    sizes = {"A_2021012": 5, "B_2021012": 6000, "A_2022012": 300, "C d%20e_2022012": 7}
+    for name, n in sizes.items():
+        write(tmp_path / f"{name}.tsv", COMMON, [[str(i)] + ["x"] * 8 for i in range(n)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.minPartitionNum", "2")
+    try:
+        got = numbers(readers.read_panel(spark, str(tmp_path), multi_line=multi_line).panel)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    want = {}
+    for name, n in sorted(sizes.items()):
+        rows = want.setdefault(int(name[-7:-3]), [])
+        rows += [(len(rows) + i, f"{name}.tsv", i) for i in range(n)]
+    assert got == want
+
+
+def test_malformed_rows_are_listed(spark, tmp_path):
+    row = [str(i) for i in range(9)]
+    write(tmp_path / "a_2021012.tsv", COMMON, [row, row[:8], ['"0', *row[1:]], [*row, "9"], ['"x', 'y"', *row[1:]], row])
+    write(tmp_path / "b_2021012.tsv", COMMON, [['"x\ny"', *row[1:8]], row])
+    for multi_line, lists in ((True, 2), (False, 3)):
+        files = readers.read_panel(spark, str(tmp_path), multi_line=multi_line)
+        assert all(r.drawn_amount == "8" for r in files.panel.collect() if r.source_file[0] == "b" and multi_line)
+        odd = {(r.source_file, r.pos, r.kind) for r in files.malformed.collect()}
+        places = [r.pos for r in files.panel.collect()] + [p for _, p, _ in odd]
+        assert sorted(places) == list(range(len(places)))
+        assert ("a_2021012.tsv", 1, "short") in odd and len(odd) >= lists
+        counts = {(r.source_file, r.kind): r.n for r in files.counts().collect()}
+        assert sum(counts.values()) == len(places)
+    clean = tmp_path / "clean"
+    clean.mkdir()
+    write(clean / "c_2021012.tsv", COMMON, [row, row[:8], [*row, "9"], ['"x\ty"', *row[1:]]])
+    files = readers.read_panel(spark, str(clean))
+    assert [(r.pos, r.kind, r.text) for r in files.malformed.orderBy("pos").collect()] == [
+        (1, "short", "\t".join(row[:8])), (2, "long", "\t".join([*row, "9"]))
+    ]
+    assert [(r.pos, r.muni_id, r.drawn_amount) for r in files.panel.orderBy("pos").collect()] == [(0, "0", "8"), (3, "x\ty", "8")]
+
+
+def test_headers_of_many_files_start_no_job(spark, tmp_path):
+    for i in range(300):
+        write(tmp_path / f"f{i:04d}_2021012.tsv", COMMON if i % 2 else ['"Two\nlines"', *COMMON], [["x"] * 10])
+    paths = [p.path for p in readers.list_parts(spark, str(tmp_path), "*.tsv")]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = readers.headers(spark, paths, "\t")
+    spark.sparkContext.setJobGroup("", "")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    assert list(found) == paths and {len(h) for h in found.values()} == {9, 10} and found[paths[0]][0] == "Two lines"
+
+
+def test_yearly_texts_keep_their_names(spark, folder, tmp_path):
+    panel = readers.read_panel(spark, str(folder)).panel
+    out = str(tmp_path / "texts")
+    tokens = {n: f"{n} {t}" for n, t in columns.LOAN_TOKENS.items()}
+    named = panel.drop("year").withColumnsRenamed(tokens)
+    for _ in range(2):  # the second time replaces the first
+        assert writers.write_yearly(named, out) == ["loans_2021012.tsv", "loans_2022012.tsv"]
+        back = readers.read_panel(spark, out, "*.csv").panel.orderBy("year", "pos").collect()
+        was = panel.select(back[0].__fields__).orderBy("year", "pos").collect()
+        assert back == was
+
+
 def test_headers():
     assert columns.normalise_headers(['"a"  b', " a b ", "c\t d"]) == ["a b", "a b.1", "c d"]
     assert columns.find_column(["xZC_ZPRUC", "b"], "ZC_ZPRU") == "xZC_ZPRUC"
@@ -78,8 +153,8 @@ def test_values_survive_exchange(spark, tmp_path):
         "source_file string, a string, b string, c string",
     )
     writers.write_exchange(df, str(tmp_path / "out"))
-    paths = readers.list_files(spark, str(tmp_path / "out" / "source_file=f_2021012.tsv"), "*.csv")
-    back = readers.read_files(spark, paths, ("a", "b", "c"), "\t").collect()
+    parts = readers.list_parts(spark, str(tmp_path / "out" / "source_file=f_2021012.tsv"), "*.csv")
+    back = readers.read_files(spark, parts, ("a", "b", "c"), "\t").collect()
     assert {(r.a, r.b, r.c) for r in back} == {(" a ", 'q"x', None), ("tab\tinside", None, "z")}
 
 
