@@ -25,3 +25,27 @@ def test_case_and_wrapping_hide_no_copy(spark):
     ]
     assert found(spark, texts, [ITEM]) == [(i, 0) for i in (0, 1, 2, 3, 4, 5, 6, 7, 10)]
     assert found(spark, ["DIE STRASSE VON OTTO IST SEHR LANG UND BREIT"], ["Die Straße von Otto ist sehr lang und breit"]) == [(0, 0)]
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    docs = [(1, ITEM), (2, ITEM), (2, "Carol has 13 apples and Dave 7, says " + ITEM.replace("Bob eats", "Eve eats")), (2, ITEM), (None, ITEM)]
+    docs = materialise(spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, text string, item string, form int"), "docs")
+    items = spark.createDataFrame([(7, ITEM), (7, ITEM)], "item_id long, text string")
+    rows = decontamination.findings(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(1, 7), (1, 7), (2, 7), (2, 7)]
+    assert decontamination.clean(docs, items).count() == 1
+
+
+def test_slots_of_windows_of_every_length(spark):
+    """The answer for an item does not depend on longer ones in the table."""
+    texts = ["he asked what is 3 plus 4 today", "he asked what is 3 plus 3 today", "WHAT IS 5\nPLUS 5"]
+    for items in (["what is 12 plus 12"], ["what is 12 plus 12", ITEM]):
+        assert found(spark, texts, items) == [(1, 0), (2, 0)]
+
+
+def test_runs_and_short_items(spark):
+    passage = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300))
+    words = passage.split()
+    texts = [" ".join(["start", *words[100:113], "end"]), " ".join(["start", *words[100:112], "end"]),
+             " ".join(words[100:112] + ["x"] + words[113:124]), "Paris", "in Paris now", "new\n york!", "New York and more"]
+    assert found(spark, texts, [passage, "paris", "New York", "...", ""]) == [(0, 0), (3, 1), (5, 2)]
