@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanpanel.operators.components import components
+from loanpanel.llm.union_find import components
 from loanpanel.sources.scratch import cut, materialise
 
 SKETCH = 128

@@ -29,7 +29,7 @@ from loanpanel.llm import (
     toxicity,
     url_filter,
 )
-from loanpanel.operators.components import components
+from loanpanel.llm.union_find import components
 from loanpanel.sources.scratch import materialise
 from oracle_check import compare, connect
 from test_lines import sets as line_sets
