@@ -167,8 +167,10 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame) -> DataFrame:
         def is_listed(host):
             import pandas as pd
 
-            each, place = np.unique(host.to_numpy(dtype=str), return_inverse=True)
-            return pd.Series(shared.value.listed(each.tolist())[place])
+            # a dict: numpy's arrays of texts are as wide as the longest, and end texts at a NUL
+            each: dict[str, int] = {}
+            place = [each.setdefault(h, len(each)) for h in host]
+            return pd.Series(shared.value.listed(list(each))[place])
 
         rows = rows.withColumn("listed", is_listed("host"))
     blocked = F.coalesce("longest.block", "listed")

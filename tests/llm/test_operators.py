@@ -374,6 +374,16 @@ def test_urls(spark, bits, monkeypatch):
     assert url_filter.judge(pages.limit(0), RULES, listed.limit(0)).count() == 0
 
 
+def test_odd_hosts(spark):
+    """A host of a million characters among many, NUL at the end of a host, repeated rows."""
+    hosts = ["bad.org", "bad.org\0", "x" * 1_000_000, "bad.org", "B.net"] + [f"h{i}" for i in range(3000)]
+    pages = spark.createDataFrame([(i, f"http://{h}") for i, h in enumerate([*hosts, *hosts])], "page_id long, url string")
+    listed = spark.createDataFrame([("bad.org",), ("b.net",), ("x" * 1_000_000,)], "host string")
+    got = url_filter.judge(pages, [], listed).filter("verdict = 'block'").collect()
+    n = len(hosts)
+    assert sorted(r.page_id for r in got) == [0, 2, 3, 4, n, n + 2, n + 3, n + 4]
+
+
 def test_cascade_is_exact(spark):
     hosts = spark.range(20_000).select(F.concat(F.lit("h"), "id").alias("host"))
     listed = hosts.filter("CAST(substr(host, 2) AS INT) % 7 = 0")
