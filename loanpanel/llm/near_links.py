@@ -46,10 +46,11 @@ def sketch(signature: np.ndarray) -> np.ndarray:
 
 
 def members(buckets: DataFrame) -> DataFrame:
-    """Stored (key, node, hub) of the buckets that hold two nodes or more."""
+    """Stored (key, node, hub) of the buckets that hold two nodes or more. A
+    node may be in a bucket several times, and comes out once."""
     bucket = Window.partitionBy("key")
     ends = buckets.select("key", "node", F.min("node").over(bucket).alias("hub"), F.max("node").over(bucket).alias("top"))
-    return materialise(ends.filter("hub < top").select("key", "node", "hub"), "members")
+    return materialise(ends.filter("hub < top").select("key", "node", "hub").distinct(), "members")
 
 
 def only(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -124,11 +125,14 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int, read=hashes) -> DataF
     """The pairs (a, b) of different nodes that reach the limit, stored."""
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
-        for end in ("a", "b"):
+        # only what stands in a pair is shuffled
+        ends = {end: pairs.select(end).distinct() for end in ("a", "b")}
+        for end, ids in ends.items():
             one = sets.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}"))
-            pairs = pairs.join(one, end)
+            pairs = pairs.join(only(one, ids, end), end)
         return pairs.select("a", "b", f"{column}_a", f"{column}_b")
 
+    pairs = cut(pairs)
     if "sketch" in sets.columns:
         pairs = cut(with_both(pairs, "sketch").mapInArrow(_alike(percent), "a long, b long"))
     return cut(with_both(pairs, "items").mapInArrow(_linked(percent, read), "a long, b long"))

@@ -175,7 +175,9 @@ def _sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
 
 # documents -------------------------------------------------------------------
 
-_SIGNED = "doc_id long, n_shingles long, set_key string, sketch binary, keys array<long>"
+_SIGNED = "doc_id long, n_shingles long, set_key string, keys array<long>"
+#: Sets that a task remembers, to send the bands of equal ones once.
+REMEMBERED = 1_000_000
 
 
 def _digest(items: bytes) -> str | None:
@@ -183,22 +185,28 @@ def _digest(items: bytes) -> str | None:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]):
-    """Size, digest of the whole set, signature and bands of every document."""
+    """Size and digest of the whole set of every document, and the bands of
+    those sets that are new to the task."""
+    seen: set[str] = set()
     for batch in batches:
         ids = batch.column(0)
         for run, texts in text_runs(batch.column(1), 1_000_000):
             every, length = shingle_sets(texts)
             cuts = np.concatenate([[0], np.cumsum(length)])
-            signature = signatures(every, length, BANDS * ROWS)
-            keys = bands(signature, BANDS, ROWS)
             digests = [_digest(every[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1))
-            )
-            sketches = [row.tobytes() for row in near_links.sketch(signature)]
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            new = np.zeros(len(digests), bool)
+            for i, (digest, known) in enumerate(zip(digests, ids[run.start : run.stop].is_valid().to_pylist())):
+                if known and digest is not None and digest not in seen:
+                    seen.add(digest)
+                    new[i] = True
+            keys = bands(signatures(every[np.repeat(new, length)], length[new], BANDS * ROWS), BANDS, ROWS)
+            ends = np.concatenate([[0], np.cumsum(new) * BANDS])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.reshape(-1), pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [ids[run.start : run.stop], pa.array(length), pa.array(digests, pa.string()), pa.array(sketches, pa.binary()), lists],
-                ["doc_id", "n_shingles", "set_key", "sketch", "keys"],
+                [ids[run.start : run.stop], pa.array(length), pa.array(digests, pa.string()), lists],
+                ["doc_id", "n_shingles", "set_key", "keys"],
             )
 
 
@@ -209,8 +217,10 @@ def _read_sets(batches: Iterator[pa.RecordBatch]):
             every, length = shingle_sets(texts)
             cuts = np.concatenate([[0], np.cumsum(length)])
             sets = [every[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-            columns = [ids[run.start : run.stop], pa.array(map(_digest, sets), pa.string()), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set_key", "items"])
+            sketches = [row.tobytes() for row in near_links.sketch(signatures(every, length, near_links.SKETCH))]
+            columns = [ids[run.start : run.stop], pa.array(map(_digest, sets), pa.string())]
+            columns += [pa.array(sketches, pa.binary()), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set_key", "sketch", "items"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -218,18 +228,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialise(rows.mapInArrow(_sign, _SIGNED), "signatures")
     # documents of equal sets: one node, the smallest id
-    groups = signed.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
-    least = F.min_by(F.struct("sketch", "keys"), "doc_id")
-    nodes = groups.agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), least.alias("of"))
-    nodes = materialise(nodes.select("set_key", "node", "copies", "of.sketch", "of.keys"), "nodes")
+    known = signed.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
+    nodes = known.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     # the smallest id may stand for two sets, where rows share an id: ids of sets tell them apart
-    nodes = nodes.withColumn("set_id", F.xxhash64("set_key"))
-    members = near_links.members(nodes.select(F.explode("keys").alias("key"), F.col("set_id").alias("node")))
+    nodes = materialise(nodes.withColumn("set_id", F.xxhash64("set_key")), "nodes")
+    members = near_links.members(known.select(F.explode("keys").alias("key"), F.xxhash64("set_key").alias("node")))
     involved = members.select("node").distinct()
     chosen = near_links.only(nodes.withColumnRenamed("node", "doc_id").withColumnRenamed("set_id", "node"), involved, "node")
-    chosen = cut(chosen.select("node", "doc_id", "set_key", "sketch"))
+    chosen = cut(chosen.select("node", "doc_id", "set_key"))
     texts = near_links.only(rows, chosen.select("doc_id").distinct(), "doc_id")
-    sets = texts.mapInArrow(_read_sets, "doc_id long, set_key string, items binary")
+    sets = texts.mapInArrow(_read_sets, "doc_id long, set_key string, sketch binary, items binary")
     sets = sets.join(chosen, ["doc_id", "set_key"]).dropDuplicates(["node"]).select("node", "sketch", "items")
     label = near_links.groups(members, materialise(sets, "sets"), PERCENT)
     # the smallest document of a group of sets
