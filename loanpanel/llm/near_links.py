@@ -5,10 +5,11 @@ into components, and two nodes of one component need no more comparing:
 
 1. Each node is compared with the smallest members (hubs) of its buckets that
    are in other components than itself: with one of them at first, then with
-   up to 4 more, 16 more, and so on until none is left.
-2. Where a bucket still holds several components, the members ranked 2nd to
-   4th are compared with those behind them in other components, then the 5th to
-   16th, and so on, until no bucket holds two components or its ranks are done.
+   up to 8, 64, and so on until none is left.
+2. Where a bucket still holds several components, which shows in a member that
+   is apart from the hub, the members ranked 2nd to 8th are compared with those
+   behind them in other components, then the 9th to 64th, and so on, until no
+   bucket holds two components or its ranks are done.
 
 So every two members of a bucket end up in one component or were compared: no
 link is lost, nothing is capped, and a group of thousands of copies of each
@@ -34,7 +35,7 @@ from loanpanel.sources.scratch import cut, materialise
 SKETCH = 128
 SLACK = 0.30
 #: Each round reaches this many times as many ranks.
-GROWTH = 4
+GROWTH = 8
 #: Pairs whose sets are in a worker's memory at a time.
 COMPARED = 256
 #: Ids (16 bytes each) that may be sent to every executor.
@@ -100,42 +101,43 @@ def common(x: np.ndarray, y: np.ndarray) -> int:
     return len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
 
 
-def hashes(items: list[bytes]) -> list[dict[int, np.ndarray]]:
-    """Sets that are stored as sorted 64-bit hashes, all of one kind."""
-    return [{0: np.frombuffer(x, np.uint64)} for x in items]
-
-
 def _reach(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     n, m = sorted((len(x), len(y)))
     both = common(x, y) if 100 * n >= percent * m else 0
     return both > 0 and 100 * both >= percent * (n + m - both)
 
 
-def _linked(percent: int, read: Callable[[list[bytes]], list[dict[int, np.ndarray]]]):
+def reaching(left: list[bytes], right: list[bytes], percent: int) -> list[bool]:
+    """Whether pairs of sets, stored as sorted 64-bit hashes, reach the limit."""
+    return [_reach(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(left, right)]
+
+
+def _linked(percent: int, reaching: Callable[[list[bytes], list[bytes], int], list[bool]]):
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in (b.slice(at, COMPARED) for b in batches for at in range(0, b.num_rows, COMPARED)):
-            pairs = zip(read(batch.column("items_a").to_pylist()), read(batch.column("items_b").to_pylist()))
-            kept = pa.array([any(_reach(x[k], y[k], percent) for k in x if k in y) for x, y in pairs], pa.bool_())
+            left, right = batch.column("items_a").to_pylist(), batch.column("items_b").to_pylist()
+            kept = pa.array(reaching(left, right, percent), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
     return run
 
 
-def links(pairs: DataFrame, sets: DataFrame, percent: int, read=hashes) -> DataFrame:
+def links(pairs: DataFrame, sets: DataFrame, percent: int, reaching=reaching) -> DataFrame:
     """The pairs (a, b) of different nodes that reach the limit, stored."""
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
-        # only what stands in a pair is shuffled
-        ends = {end: pairs.select(end).distinct() for end in ("a", "b")}
-        for end, ids in ends.items():
+        few, joined = pairs.count() <= BROADCAST_IDS, pairs
+        for end in ("a", "b"):
             one = sets.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}"))
-            pairs = pairs.join(only(one, ids, end), end)
-        return pairs.select("a", "b", f"{column}_a", f"{column}_b")
+            if few:  # only what stands in a pair is shuffled
+                one = one.join(F.broadcast(pairs.select(end).distinct()), end, "left_semi")
+            joined = joined.join(one, end)
+        return joined.select("a", "b", f"{column}_a", f"{column}_b")
 
     pairs = cut(pairs)
     if "sketch" in sets.columns:
         pairs = cut(with_both(pairs, "sketch").mapInArrow(_alike(percent), "a long, b long"))
-    return cut(with_both(pairs, "items").mapInArrow(_linked(percent, read), "a long, b long"))
+    return cut(with_both(pairs, "items").mapInArrow(_linked(percent, reaching), "a long, b long"))
 
 
 def _labelled(rows: DataFrame, label: DataFrame, node: str, component: str) -> DataFrame:
@@ -145,32 +147,43 @@ def _labelled(rows: DataFrame, label: DataFrame, node: str, component: str) -> D
     return joined.withColumn(component, F.coalesce("in", node)).drop("of", "in")
 
 
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes in different components."""
+    return _labelled(_labelled(pairs, label, "a", "of_a"), label, "b", "of_b").filter("of_a <> of_b").select("a", "b")
+
+
 def _joined(label: DataFrame, more: DataFrame) -> DataFrame:
     """Components with new links: those known stand as links to their roots."""
     known = label.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return cut(components(known.union(more)))
 
 
-def groups(members: DataFrame, sets: DataFrame, percent: int, read=hashes) -> DataFrame:
+def groups(members: DataFrame, sets: DataFrame, percent: int, reaching=reaching) -> DataFrame:
     """(node, component) of all nodes with a link. sets: node and items of all
     members, one row a node, and sketch if pairs are to be estimated first;
-    read turns a list of items into sorted sets of 64-bit hashes by kind; a pair
-    is linked that reaches the limit in one kind that both have."""
-    hubs = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    reaching tells of two lists of items which pairs reach the limit."""
+    every = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    every = hubs = cut(every)
     label = members.select("node", F.col("node").alias("component")).limit(0)
     width = 1
     while True:
-        apart = _labelled(_labelled(hubs, label, "a", "of_a"), label, "b", "of_b").filter("of_a <> of_b")
         turn = F.row_number().over(Window.partitionBy("a").orderBy("b"))
-        hubs = cut(apart.select("a", "b", turn.alias("turn")))
+        hubs = cut(_apart(hubs, label).select("a", "b", turn.alias("turn")))
         if hubs.isEmpty():
             break
-        label = _joined(label, links(hubs.filter(F.col("turn") <= width).select("a", "b"), sets, percent, read))
+        label = _joined(label, links(hubs.filter(F.col("turn") <= width).select("a", "b"), sets, percent, reaching))
         hubs = hubs.filter(F.col("turn") > width).select("a", "b")
         width *= GROWTH
 
+    # buckets of several components have a member that is apart from the hub
+    left = cut(_apart(every, label).select(F.col("a").alias("node"), F.col("b").alias("hub"), F.lit(1).alias("apart")))
+    few = left.count()
+    if not few:
+        return label
     bucket = Window.partitionBy("key")
-    ranked = members.withColumn("rank", F.row_number().over(bucket.orderBy("node")))
+    marked = members.join(F.broadcast(left) if few <= BROADCAST_IDS else left, ["node", "hub"], "left")
+    marked = marked.withColumn("apart", F.max("apart").over(bucket)).filter("apart = 1")
+    ranked = marked.select("key", "node", F.row_number().over(bucket.orderBy("node")).alias("rank"))
     low, high = 2, GROWTH
     while True:
         # buckets with two components and ranks to come
@@ -186,5 +199,5 @@ def groups(members: DataFrame, sets: DataFrame, percent: int, read=hashes) -> Da
         )
         behind = (F.col("rank") > F.col("rank_b")) & (F.col("component") != F.col("component_b"))
         pairs = ranked.join(front, "key").filter(behind).select(F.col("node").alias("a"), "b").distinct()
-        label = _joined(label, links(pairs, sets, percent, read))
+        label = _joined(label, links(pairs, sets, percent, reaching))
         low, high = high + 1, high * GROWTH
