@@ -98,7 +98,8 @@ def _alike(percent: int):
 
 def common(x: np.ndarray, y: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
-    return len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+    both = np.sort(np.concatenate([x, y]))
+    return int((both[1:] == both[:-1]).sum())
 
 
 def _reach(x: np.ndarray, y: np.ndarray, percent: int) -> bool:

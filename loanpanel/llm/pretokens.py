@@ -51,6 +51,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted different numbers; np.unique hashes before it sorts, ten times as long."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 @lru_cache(1)
 def _char_values() -> tuple[np.ndarray, np.ndarray]:
     points = np.arange(1, 0x110001, dtype=np.uint64)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanpanel.llm import near_links
-from loanpanel.llm.pretokens import mix, steps, text_runs
+from loanpanel.llm.pretokens import distinct, mix, steps, text_runs
 from loanpanel.sources.scratch import cut, materialise
 
 BANDS, ROWS = 64, 6
@@ -163,7 +163,7 @@ def _sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
             joined = mix(joined * _MULTIPLY + word[k : len(word) - size + 1 + k])
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= size:
-            yield np.unique(joined[a : b - size + 1])
+            yield distinct(joined[a : b - size + 1])
         elif b > a:
             short = np.zeros(1, np.uint64)
             for k in range(a, b):
