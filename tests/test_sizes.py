@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loanpanel.operators import link_rules, lookup
 from loanpanel.plans import sample_panel
 from loanpanel.sources import scratch
 
@@ -41,3 +42,30 @@ def test_tables_by_year_are_written_without_a_sort(spark, tmp_path):
         f"EXPLAIN INSERT OVERWRITE DIRECTORY '{tmp_path}/x' USING parquet SELECT * FROM rows_by_year"
     ).first()[0]
     assert "Sort" not in text
+
+
+def test_a_lookup_without_heavy_keys_reads_the_facts_once(spark):
+    facts = spark.range(100).selectExpr("id % 10 AS k", "id")
+    table = spark.range(8).selectExpr("id AS k", "id * 2 AS v", "10L AS n")
+    out = lookup.lookup(facts, table, ["k"], weight="n", broadcast_rows=2)
+    assert "Union" not in plan(out)
+    assert sorted(map(tuple, out.select("k", "id", "v").collect()), key=repr) == sorted(
+        ((i % 10, i, i % 10 * 2 if i % 10 < 8 else None) for i in range(100)), key=repr
+    )
+
+
+DAYS = [
+    "20210228", "20210229", "20200229", "16770921", "16770922", "22620411", "22620412", "99991231", "00000101",
+    "2021022", "202102281", "+20210228", "-20210228", "2021-2-8", "20210 28", "2021022 ", " 20210228", "20210228\n",
+    "neznámé", "", "20211301", "20210100", "２０２１０２２８", None,
+]
+
+
+def test_days_as_a_formatter_reads_them(spark):
+    rows = spark.createDataFrame([(d,) for d in DAYS], "d string")
+    was = F.try_to_date("d", "yyyyMMdd")
+    was = F.when(was.between(F.lit("1677-09-22").cast("date"), F.lit("2262-04-11").cast("date")), was)
+    now = link_rules._day(F.col("d"))
+    assert "gettimestamp" not in plan(rows.select(now))
+    for day, a, b in rows.select("d", was, now).collect():
+        assert a == b, day
