@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+
+import pytest
 from pyspark.sql import functions as F
 
-from loanpanel.operators import link_rules, lookup
+from loanpanel.operators import link_rules, lookup, typos
 from loanpanel.plans import sample_panel
 from loanpanel.sources import scratch
 
@@ -69,3 +72,14 @@ def test_days_as_a_formatter_reads_them(spark):
     assert "gettimestamp" not in plan(rows.select(now))
     for day, a, b in rows.select("d", was, now).collect():
         assert a == b, day
+
+
+@pytest.mark.parametrize("few", [0, 3, 20])
+def test_small_groups_are_compared_without_keys(spark, few):
+    texts = ["".join(t) for n in (2, 3) for t in itertools.product("ab", repeat=n)]
+    left = [(g, t) for g in "xyz" for t in texts] + [(None, "ab"), ("x", None)]
+    right = [(g, t) for g, n in (("x", 2), ("y", 4), ("w", 5)) for t in texts[:n]] + [(None, "ab")]
+    a, b = (spark.createDataFrame(rows, f"g string, {c} string") for rows, c in ((left, "a"), (right, "b")))
+    got = typos.near_pairs(a, b, ["g"], "a", "b", 1, few)
+    want = a.join(b, "g").filter("levenshtein(a, b) <= 1").distinct()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("g", "a", "b").collect()))
