@@ -7,7 +7,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from loanpanel.operators import link_rules, lookup, typos
+from loanpanel.operators import decisions, link_rules, lookup, rate_panel, typos
 from loanpanel.plans import sample_panel
 from loanpanel.sources import scratch
 
@@ -83,3 +83,14 @@ def test_small_groups_are_compared_without_keys(spark, few):
     got = typos.near_pairs(a, b, ["g"], "a", "b", 1, few)
     want = a.join(b, "g").filter("levenshtein(a, b) <= 1").distinct()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("g", "a", "b").collect()))
+
+
+def test_strings_are_not_sorted_before_the_shuffle(spark):
+    rows = spark.createDataFrame([("i", 2022, "1", "2", "p", None)], "id string, year int, drawn_amount string, rate_text string, purpose string, dedup_suffix string")
+    text = plan(rate_panel.rate_panel(rows, [2022, 2023]))
+    assert text.count("Exchange") == 1 and "Aggregate" not in text[text.index("Exchange") :]
+    store = spark.createDataFrame([("a", "b", "Y", 1), ("a", "b", "N", 2)], "y1_composite_id string, y2_composite_id string, decision string, seq long")
+    latest = decisions.latest_decisions(store)
+    text = plan(latest)
+    assert text.count("Exchange") == 1 and "Aggregate" not in text[text.index("Exchange") :]
+    assert [tuple(r) for r in latest.collect()] == [("a", "b", "N")]
